@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +17,8 @@ from sedimenta.llm.characters import plain, words
 
 #: Words of a window, of the shortest passage, and edits allowed in a passage of that length (one word in eight).
 WINDOW, PASSAGE, EDITS = 5, 16, 2
+#: A sentence found in this many evaluation items is a stock sentence.
+STOCK = 3
 #: Evaluation words indexed at once; longer evaluation sets are searched in blocks of items, each against all documents.
 BLOCK_WORDS = 1_000_000
 # Unit words, replaced by a placeholder after a number.
@@ -38,6 +41,7 @@ class Index:
     item_ids: list[int]
     item_words: list[list[str]]
     item_templates: list[np.ndarray]
+    item_stock: list[np.ndarray]
     names: frozenset[str]
 
 
@@ -79,9 +83,17 @@ def codes(ids: np.ndarray, base: int) -> np.ndarray:
     return np.where(known, code & np.int64(2**63 - 1), -1)
 
 
+def stock_words(texts: list[str]) -> list[np.ndarray]:
+    """For each text the words (True) that belong to sentences found in ``STOCK`` or more texts."""
+    split = [[ws for x in re.split(r"(?<=[a-z0-9)][.?!])\s+", t or "") if (ws := words(x))] for t in texts]
+    seen = Counter(k for one in split for k in {" ".join(ws) for ws in one})
+    return [np.array([seen[" ".join(ws)] >= STOCK for ws in one for _ in ws], dtype=bool) for one in split]
+
+
 def build_index(items: list[tuple[int, str]]) -> Index:
     names = names_of([t for _, t in items if t])
     lists = [words(t) for _, t in items]
+    stock = [m if len(m) == len(ws) else np.zeros(len(ws), dtype=bool) for m, ws in zip(stock_words([t for _, t in items]), lists)]
     vocabulary: dict[str, int] = {}
     all_codes, all_items, all_places, coded = [], [], [], []
     templates = [template(ws, names) for ws in lists]
@@ -97,13 +109,15 @@ def build_index(items: list[tuple[int, str]]) -> Index:
     code = np.concatenate(all_codes) if all_codes else np.empty(0, dtype=np.int64)
     order = np.argsort(code, kind="stable")
     at = lambda x: (np.concatenate(x) if x else np.empty(0, dtype=np.int64))[order].astype(np.int32)
-    return Index(vocabulary, code[order], at(all_items), at(all_places), [i for i, _ in items], lists, coded, names)
+    return Index(vocabulary, code[order], at(all_items), at(all_places), [i for i, _ in items], lists, coded, stock, names)
 
 
-def passage(item: list[str], doc: list[str], length: int = PASSAGE, edits: int = EDITS) -> bool:
+def passage(item: list[str], doc: list[str], stock: np.ndarray | None = None, length: int = PASSAGE, edits: int = EDITS) -> bool:
     """Whether some ``length`` consecutive words of ``item`` stand in ``doc`` with at most ``edits`` words changed, dropped or inserted.
 
-    The first and the last word of the passage must stand unchanged. Dynamic programme over all windows of the item at once.
+    The first and the last word of the passage must stand unchanged. Words of stock sentences (``stock``) prove little: a passage with
+    fewer than 8 other words does not count, and every 4 others beyond these 8 allow one edit. Dynamic programme over all windows of the
+    item at once.
     """
     n, m = len(item) - length + 1, len(doc)
     if n <= 0 or m < length - edits:
@@ -125,7 +139,8 @@ def passage(item: list[str], doc: list[str], length: int = PASSAGE, edits: int =
         row = new
         if row.min() > edits:
             return False
-    return bool(row.min() <= edits)
+    own = np.full(n, length) if stock is None else np.convolve(~stock, np.ones(length, dtype=int), "valid")
+    return bool((row.min(axis=1) <= np.minimum(edits, (own - 8) // 4)).any())
 
 
 def near(a: np.ndarray, b: np.ndarray, first: int, last: int, diagonal: int) -> tuple[int, int] | None:
@@ -190,9 +205,10 @@ def search(texts: pd.Series, index: Index) -> list[tuple[int, int, str]]:
         lo, hi = stretch
         x, y = max(0, lo + k - 2 * EDITS), hi + k + 2 * EDITS
         part, text = index.item_words[key[1]][lo:hi], lists[key[0]][x:y]
-        if passage(part, text) or passage(part, text, 24, 3):
+        stock = index.item_stock[key[1]][lo:hi]
+        if passage(part, text, stock) or passage(part, text, stock, 24, 3):
             result[key] = "passage"
-        elif key not in result and passage(template(part, index.names), template(text, index.names)):
+        elif key not in result and passage(template(part, index.names), template(text, index.names), stock):
             result[key] = "reparameterised"
     return [(r, i, kind) for (r, i), kind in result.items()]
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from sedimenta.plans import curation
+from sedimenta.plans import curation, resolving
 
-QUERIES = {**curation.QUERIES}
-SQL: dict[str, str] = {}
+MODULES = [curation, resolving]
+QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sedimenta.plans import curation, resolving
+from sedimenta.plans import aggregating, curation, joining, resolving, versioning
 
-MODULES = [curation, resolving]
+MODULES = [curation, resolving, aggregating, joining, versioning]
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

@@ -5,22 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sedimenta.operators import resolve as R
+from sedimenta.plans.registry import registry
 from sedimenta.sources.tables import table
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name, with its SQL."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
+QUERIES, SQL, query = registry()
 
 ROUTE_SQL = "case lower(trim(route)) when 'r1' then 0 when 'r2' then 1 when 'r3' then 2 when 'r4' then 3 else 4 end"
 DET_SQL = f"""with det as (select det_id, upper(trim(sample_key)) as sample_key, field_name, lower(trim(value_normalized)) as val,

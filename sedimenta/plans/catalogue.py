@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sedimenta.plans import aggregating, curation, joining, resolving, versioning
+from sedimenta.plans import aggregating, analysing, curation, joining, resolving, texting, versioning
 
-MODULES = [curation, resolving, aggregating, joining, versioning]
+MODULES = [curation, resolving, aggregating, joining, versioning, texting, analysing]
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

@@ -130,32 +130,32 @@ def parse_time(text: Column, order: Column) -> Column:
                 half.alias("half"), clean.alias("zone"), iana.alias("iana"),
             )
 
-        def placed(x: Column) -> Column:
-            h, zone, half = x["h"], x["zone"], x["half"]
-            hour = F.when((half == "p") & (h < 12), h + 12).when((half == "a") & (h == 12), F.lit(0)).otherwise(h)
-            digits = F.regexp_replace(zone, r"^[+-]", "")
-            whole = F.when(F.length(digits) > 2, _int(digits)).otherwise(_int(digits) * 100)
-            minutes = F.floor(whole / 100) * 60 + whole % 100
-            offset = F.coalesce(
-                F.try_element_at(known, zone),
-                F.when(zone.rlike(r"^[+-]\d{1,4}$"), F.when(zone.startswith("-"), -minutes).otherwise(minutes)).cast("int"),
-            )
-            ok = valid_day(x["y"], x["m"], x["d"]) & ((zone == "") | offset.isNotNull())
-            clock_ok = (hour <= 23) & (x["mi"] <= 59) & (x["sec"] <= 59) & ((half == "") | ((h >= 1) & (h <= 12)))
-            ok = ok & (~x["timed"] | clock_ok)
-            local = days_from_civil(x["y"], x["m"], x["d"]) * F.lit(DAY_US)
-            clock = ((hour * 60 + x["mi"]) * 60 + x["sec"]).cast("long") * F.lit(US) + x["us"]
-            return F.when(
-                ok,
-                F.struct(
-                    (local + F.when(x["timed"], clock).otherwise(F.lit(0))).cast("long").alias("local_us"),
-                    (~x["timed"]).alias("day_only"),
-                    offset.cast("int").alias("offset_min"),
-                    F.when(x["iana"] != "", iana_raw).alias("zone_id"),
-                ),
-            )
-
-        return let(let(parts, fields), placed)
+        return let(parts, fields)
+
+    def placed(x: Column) -> Column:
+        h, zone, half = x["h"], x["zone"], x["half"]
+        hour = F.when((half == "p") & (h < 12), h + 12).when((half == "a") & (h == 12), F.lit(0)).otherwise(h)
+        digits = F.regexp_replace(zone, r"^[+-]", "")
+        whole = F.when(F.length(digits) > 2, _int(digits)).otherwise(_int(digits) * 100)
+        minutes = F.floor(whole / 100) * 60 + whole % 100
+        offset = F.coalesce(
+            F.try_element_at(known, zone),
+            F.when(zone.rlike(r"^[+-]\d{1,4}$"), F.when(zone.startswith("-"), -minutes).otherwise(minutes)).cast("int"),
+        )
+        ok = valid_day(x["y"], x["m"], x["d"]) & ((zone == "") | offset.isNotNull())
+        clock_ok = (hour <= 23) & (x["mi"] <= 59) & (x["sec"] <= 59) & ((half == "") | ((h >= 1) & (h <= 12)))
+        ok = ok & (~x["timed"] | clock_ok)
+        local = days_from_civil(x["y"], x["m"], x["d"]) * F.lit(DAY_US)
+        clock = ((hour * 60 + x["mi"]) * 60 + x["sec"]).cast("long") * F.lit(US) + x["us"]
+        return F.when(
+            ok,
+            F.struct(
+                (local + F.when(x["timed"], clock).otherwise(F.lit(0))).cast("long").alias("local_us"),
+                (~x["timed"]).alias("day_only"),
+                offset.cast("int").alias("offset_min"),
+                F.when(x["iana"] != "", iana_raw).alias("zone_id"),
+            ),
+        )
 
     epoch = F.struct(
         F.when(s.rlike(r"^\d{10}$"), s.try_cast("long") * F.lit(US)).otherwise(s.try_cast("long") * F.lit(1000)).alias("local_us"),
@@ -163,10 +163,10 @@ def parse_time(text: Column, order: Column) -> Column:
         F.lit(0).alias("offset_min"),
         F.lit(None).cast("string").alias("zone_id"),
     )
-    ladder = F.when(s.rlike(r"^\d{10}$|^\d{13}$"), epoch)
-    for name in ("ymd", "num", "dmon", "mond", "packed"):
+    ladder = F.when(s.rlike(PATTERNS["ymd"]), reading("ymd"))
+    for name in ("num", "dmon", "mond", "packed"):
         ladder = ladder.when(s.rlike(PATTERNS[name]), reading(name))
-    return ladder
+    return F.when(s.rlike(r"^\d{10}$|^\d{13}$"), epoch).otherwise(let(ladder, placed))
 
 
 def utc_text(us: Column) -> Column:

@@ -153,4 +153,24 @@ QUERIES = {
     "p6_units": p6_units,
 }
 
-SQL: dict[str, str] = {}
+#: White space at the ends of keys and values, for DuckDB's trim.
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)"
+NAMES = f"""rel as (select release_id, package_version, row_number() over (order by release_date, release_id) as k from releases), names as (select lower(trim(release_id)) as t, k from rel
+union select lower(trim(package_version)), k from rel union select 'v' || lower(trim(package_version)), k from rel),"""
+VALUE = f"coalesce((case when regexp_matches(trim(value_normalized, {BLANKS}), '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$') then try_cast(trim(value_normalized, {BLANKS}) as double) + 0.0 end)::varchar, lower(trim(value_normalized, {BLANKS})))"
+
+SQL: dict[str, str] = {
+    "p3_found": f"""with {NAMES} one as (select n.k, upper(trim(sample_key, {BLANKS})) as s, lower(trim(field_name, {BLANKS})) as f, max_by(struct_pack(v := {VALUE}), delivered_at).v as v from determination_snapshots d join names n on n.t = lower(trim(d.release_id, {BLANKS})) group by 1, 2, 3),
+ks as (select k, lead(k) over (order by k) as nk from (select distinct k from one)), cur as (select k, s, f, v from one), prev as (select ks.nk as k, s, f, v from one join ks using (k) where ks.nk is not null),
+j as (select coalesce(c.k, p.k) as k, coalesce(c.s, p.s) as s, coalesce(c.f, p.f) as f, case when p.s is null then 'added' when c.s is null then 'removed' when c.v is distinct from p.v then 'changed' end as change_kind
+from cur c full join prev p on c.k = p.k and c.s = p.s and c.f = p.f)
+select rel.release_id, s as sample_key, f as field_name, change_kind from j join rel using (k) where change_kind is not null and k > (select min(k) from ks)""",
+    "p4_found": f"""with {NAMES} r as (select upper(trim(sample_key, {BLANKS})) as s, lower(trim(field_name, {BLANKS})) as f, lower(trim(src_track, {BLANKS})) as t, {VALUE} as v, coalesce(a.k, p.k) as b, e.k as e, det_id
+from sample_determinations_all d left join names a on a.t = lower(trim(d.release_added, {BLANKS})) left join names p on p.t = lower(trim(d.package_added, {BLANKS})) left join names e on e.t = lower(trim(d.release_retired, {BLANKS}))),
+one as (select * from r where v is not null and b is not null and (e is null or e > b) and s is not null and f is not null and t is not null qualify row_number() over (partition by s, f, t, b order by det_id desc) = 1),
+cut as (select *, least(e, lead(b) over w) as e2 from one window w as (partition by s, f, t order by b)),
+mark as (select *, case when lag(v) over w = v and lag(e2) over w = b then 0 else 1 end as new from cut window w as (partition by s, f, t order by b)),
+grp as (select *, sum(new) over (partition by s, f, t order by b rows unbounded preceding) as g from mark),
+ver as (select s, f, t, min(b) as b, case when count(e2) = count(*) then max(e2) end as e from grp group by s, f, t, g)
+select s as sample_key, f as field_name, t as src_track, x.release_id as valid_from, coalesce(y.release_id, '') as valid_to from ver join rel x on x.k = ver.b left join rel y on y.k = ver.e""",
+}

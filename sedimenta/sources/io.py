@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 #: Members of an archive larger than this are logged, not read.
 MAX_MEMBER_BYTES = 64_000_000
-NULL_TOKEN = "\x01null"
+NULL_TOKEN = "\\N"
 
 
 def scratch(spark: SparkSession) -> str:

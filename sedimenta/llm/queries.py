@@ -156,14 +156,14 @@ names as (
   union select 'v' || lower(trim(package_version)), k from rel
 ),
 rows_ as (
-  select d.det_id, upper(trim(d.sample_key)) as sample_key, lower(trim(d.field_name)) as field_name,
-    case when lower(trim(d.src_track)) = 'infant_catalog' then 0 else 1 end as track_place,
-    case lower(trim(d.route)) when 'r1' then 1 when 'r2' then 2 when 'r3' then 3 when 'r4' then 4 else 5 end as route_place,
+  select d.det_id, upper(trim(d.sample_key, BLANKS)) as sample_key, lower(trim(d.field_name, BLANKS)) as field_name,
+    case when lower(trim(d.src_track, BLANKS)) = 'infant_catalog' then 0 else 1 end as track_place,
+    case lower(trim(d.route, BLANKS)) when 'r1' then 1 when 'r2' then 2 when 'r3' then 3 when 'r4' then 4 else 5 end as route_place,
     coalesce(case when d.confidence > 1 then d.confidence / 100 else d.confidence end, -1) as conf,
     coalesce(a.k, p.k, 0) as rank_
   from sample_determinations_all d
-  left join names a on a.t = lower(trim(d.release_added))
-  left join names p on p.t = lower(trim(d.package_added))
+  left join names a on a.t = lower(trim(d.release_added, BLANKS))
+  left join names p on p.t = lower(trim(d.package_added, BLANKS))
   where d.release_retired is null and d.value_normalized is not null and d.sample_key is not null and d.field_name is not null
 ),
 ranked as (
@@ -172,5 +172,5 @@ ranked as (
   from rows_
 )
 select sample_key, field_name, det_id from ranked where r = 1 and n >= 2
-""",
+""".replace("BLANKS", "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)"),
 }

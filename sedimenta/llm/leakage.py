@@ -223,7 +223,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_i
     with at most one edit in eight words, ``reparameterised`` if only the templates do (numbers, units or names differ too
     often), else nothing.
 
-    Defined results: null, blank and short texts give nothing; a null id is an id like any other; repeated documents are each reported,
+    Defined results: null, blank and short texts give nothing; a null document id is an id like any other, items without an id are left out; repeated documents are each reported,
     repeated items too; an empty side gives no rows; other columns are dropped. Items are read in blocks of ``BLOCK_WORDS`` words, so
     the index sent out is bounded; the documents are read once per block and never shuffled.
     """
@@ -232,19 +232,22 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_i
     blocks = max(1, math.ceil(total / 6 / BLOCK_WORDS))
     out = None
     for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64(item_id), F.lit(blocks)) == b).select(item_id, item_text).collect()
+        part = items.where(F.col(item_id).isNotNull() & (F.pmod(F.xxhash64(item_id), F.lit(blocks)) == b)).select(item_id, item_text).collect()
         shared = sc.broadcast(build_index([(r[0], r[1]) for r in part]))
 
         def probe(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             index = shared.value
             for pdf in batches:
                 got = search(pdf["text"], index)
-                ids = pdf["doc_id"].to_numpy()
-                yield pd.DataFrame(
-                    {"doc_id": [ids[r] for r, _, _ in got], "item_id": [index.item_ids[i] for _, i, _ in got], "kind": [k for _, _, k in got]}
-                )
-
-        d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
-        one = d.mapInPandas(probe, "doc_id long, item_id long, kind string")
+                if got:
+                    at = [r for r, _, _ in got]
+                    items_found = np.array([index.item_ids[i] for _, i, _ in got], dtype=np.int64)
+                    yield pd.DataFrame(
+                        {"doc_id": pdf["doc_id"].to_numpy()[at], "no_id": pdf["no_id"].to_numpy()[at], "item_id": items_found, "kind": [k for *_, k in got]}
+                    )
+
+        key = F.col(doc_id).cast("long")  # null ids travel as a flag, for pandas would make all ids floats
+        d = docs.select(F.coalesce(key, F.lit(0).cast("long")).alias("doc_id"), key.isNull().alias("no_id"), F.col(text).alias("text")).where("text is not null")
+        one = d.mapInPandas(probe, "doc_id long, no_id boolean, item_id long, kind string")
         out = one if out is None else out.unionByName(one)
-    return out.select(F.col("doc_id").alias(doc_id), F.col("item_id").alias(item_id), "kind")
+    return out.select(F.when(~F.col("no_id"), F.col("doc_id")).alias(doc_id), F.col("item_id").alias(item_id), "kind")

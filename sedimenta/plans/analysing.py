@@ -50,10 +50,10 @@ def volcano(spark, d):
 
 
 @query("""with r as (select l_suppkey, rank() over (partition by l_suppkey order by l_quantity) + (count(*) over (partition by l_suppkey, l_quantity) - 1) / 2.0 as rx, rank() over (partition by l_suppkey order by
-l_discount) + (count(*) over (partition by l_suppkey, l_discount) - 1) / 2.0 as ry from lineitem) select l_suppkey, count(*) as n, round(corr(rx, ry), 6) as rho from r group by 1""")
+l_discount) + (count(*) over (partition by l_suppkey, l_discount) - 1) / 2.0 as ry from lineitem) select l_suppkey, count(*) as n, round(corr(rx, ry), 6) + 0.0 as rho from r group by 1""")
 def spearman(spark, d):
     """L4: rank correlation per group."""
-    return S.spearman(table(spark, d, "lineitem").select("l_suppkey", "l_quantity", "l_discount"), ["l_suppkey"], "l_quantity", "l_discount").withColumn("rho", F.round("rho", 6))
+    return S.spearman(table(spark, d, "lineitem").select("l_suppkey", "l_quantity", "l_discount"), ["l_suppkey"], "l_quantity", "l_discount").withColumn("rho", F.round("rho", 6) + F.lit(0.0))
 
 
 @query("""with x as (select vec_id, label, unnest(embedding)::double as v, unnest(range(1, 1 + len(embedding))) as i from embeddings), c as (select label, i, avg(v) as m from x group by 1, 2), g as (select i, avg(v) as m from x
@@ -73,11 +73,11 @@ def single_origin(spark, d):
 
 
 @query("""with m as (select o_custkey % 50 as g, year(o_orderdate) as y, median(o_totalprice) as m from orders group by 1, 2), r as (select g, rank() over (partition by g order by y) as rx, rank() over (partition by g order by m) +
-(count(*) over (partition by g, m) - 1) / 2.0 as ry from m) select g, count(*) as periods, round(corr(rx, ry), 6) as rho from r group by 1 having count(*) >= 3""")
+(count(*) over (partition by g, m) - 1) / 2.0 as ry from m) select g, count(*) as periods, round(corr(rx, ry), 6) + 0.0 as rho from r group by 1 having count(*) >= 3""")
 def trend(spark, d):
     """Rank correlation of yearly medians."""
     o = table(spark, d, "orders").select((F.col("o_custkey") % 50).alias("g"), F.year("o_orderdate").alias("y"), "o_totalprice")
-    return S.trend(o, "g", "y", "o_totalprice").withColumn("rho", F.round("rho", 6))
+    return S.trend(o, "g", "y", "o_totalprice").withColumn("rho", F.round("rho", 6) + F.lit(0.0))
 
 
 @query("""with f as (select l_orderkey, case when l_returnflag in ('A', 'R') then 'back' else 'kept' end as fam, sum(l_quantity) as s from lineitem group by 1, 2) select l_orderkey, round(coalesce(sum(s) filter (where fam = 'back'), 0), 4) as back,

@@ -11,6 +11,7 @@ LOOKALIKES = {"а": "a", "с": "c", "е": "e", "о": "o", "р": "p", "х": "x",
 INVISIBLE = {c: None for c in [0x00AD, 0x034F, 0x061C, 0x180E, 0xFEFF, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070)]}
 DASHES = {c: "-" for c in [0x2010, 0x2011, 0x2012, 0x2013, 0x2014, 0x2015, 0x2212, 0xFE58, 0xFE63, 0xFF0D]}
 TABLE = {**{ord(k): v for k, v in LOOKALIKES.items()}, **INVISIBLE, **DASHES}
+COMBINING = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
 PLAIN = re.compile(r"[\x00-\x7f]*\Z")
 
 
@@ -19,8 +20,7 @@ def plain(text: str) -> str:
     if PLAIN.match(text):
         return text.lower()
     s = unicodedata.normalize("NFKD", text).translate(TABLE)
-    s = "".join(c for c in s if not unicodedata.combining(c))
-    return s.casefold()
+    return COMBINING.sub("", s).casefold()
 
 
 TAG = re.compile(r"</?[a-z][^<>]{0,80}>")

@@ -100,12 +100,14 @@ def build_index(items: list[tuple[int, str]]) -> Index:
     for t in templates:
         for w in t:
             vocabulary.setdefault(w, len(vocabulary) + 1)
-    for i, t in enumerate(templates):
+    for i, (t, own) in enumerate(zip(templates, stock)):
         coded.append(np.array([vocabulary[w] for w in t], dtype=np.int64))
         c = codes(coded[-1], len(vocabulary) + 1)
-        all_codes.append(c)
-        all_items.append(np.full(len(c), i))
-        all_places.append(np.arange(len(c)))
+        # A passage always holds an unbroken window with other than stock words (see ``passage``), so windows of stock words alone are left out.
+        used = np.flatnonzero(np.convolve(~own, np.ones(WINDOW, dtype=int), "valid") > 0) if len(c) else np.arange(0)
+        all_codes.append(c[used])
+        all_items.append(np.full(len(used), i))
+        all_places.append(used)
     code = np.concatenate(all_codes) if all_codes else np.empty(0, dtype=np.int64)
     order = np.argsort(code, kind="stable")
     at = lambda x: (np.concatenate(x) if x else np.empty(0, dtype=np.int64))[order].astype(np.int32)
@@ -191,6 +193,15 @@ def search(texts: pd.Series, index: Index) -> list[tuple[int, int, str]]:
     row, item, place, diagonal = row[order], item[order], place[order], diagonal[order]
     new = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(item) != 0) | (np.diff(diagonal) != 0)]))
     ends = np.concatenate([new[1:], [len(row)]]) - 1
+    # A passage holds at least two windows on neighbouring diagonals: 14 equal words in three runs have two windows of five.
+    size = ends - new + 1
+    around = size.copy()
+    for k in range(1, min(2 * EDITS, len(new) - 1) + 1):
+        a, b = new[:-k], new[k:]
+        close = (row[a] == row[b]) & (item[a] == item[b]) & (diagonal[b] - diagonal[a] <= EDITS)
+        around[:-k] += np.where(close, size[k:], 0)
+        around[k:] += np.where(close, size[:-k], 0)
+    new, ends = new[around >= 2], ends[around >= 2]
     result: dict[tuple[int, int], str] = {}
     for a, b in zip(new, ends):
         key = int(row[a]), int(item[a])

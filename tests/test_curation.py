@@ -217,6 +217,65 @@ def test_viterbi_finds_a_switch():
     assert [units.STATES["mass"][p] for p in path] == ["g"] * 4 + ["kg"] * 4
 
 
+def test_chain_in_portions_is_the_whole_chain():
+    """Random chains taken in random portions, against a plain search over the best paths, each with its level."""
+    import math
+
+    import numpy as np
+
+    rnd = np.random.default_rng(7)
+    factors = np.array([units.FACTORS["mass"][u] for u in units.STATES["mass"]])
+    s = len(factors)
+    stay, move = math.log1p(-math.exp(units.SWITCH)), units.SWITCH - math.log(s - 1)
+    early = 0
+    for _ in range(40):
+        n = int(rnd.integers(1, 40))
+        values = rnd.lognormal(8, 0.3, n)[:, None] / factors[rnd.integers(0, s, n)][:, None] * factors[None, :]
+        told = rnd.choice([-1, -1, -1, -1, -2, 1, 2], n)
+        best = {j: (0.0, 8.0, []) for j in range(s)}
+        for t in range(n):
+            new = {}
+            for j in range(s):
+                if told[t] >= 0 and j != told[t]:
+                    continue
+                score, level, path = max(((v + (0 if not t else stay if i == j else move), lv, p) for i, (v, lv, p) in best.items() if t or i == j), key=lambda z: z[0])
+                off = math.log(values[t, j]) - level
+                if told[t] == -1:
+                    score -= 0.5 * (off / 0.3) ** 2
+                if told[t] != -2:
+                    level += units.SMOOTHING * off
+                new[j] = (score, level, [*path, j])
+            best = new
+        want = max(best.values(), key=lambda z: z[0])[2]
+        whole = units.viterbi(values, told, 8.0, 0.3, True)
+        assert all(a == b for a, b, c in zip(whole, want, told) if c != -2)  # a switch may fall anywhere among rows without evidence
+        chain, got = units.Chain(s, 8.0, 0.3, True), []
+        for part in np.split(np.arange(n), sorted(rnd.integers(0, n + 1, 5))):
+            chain.take(values[part], told[part])
+            got += list(chain.settle(False))
+        early += len(got)
+        assert got + list(chain.settle(True)) == list(whole)
+    assert early
+
+
+def test_units_do_not_depend_on_the_width_of_ids(spark):
+    """A device's unmarked rows between others, with narrow and with wide ids, read in batches of three rows."""
+    grams = [3000.0, 3200, 2900, 3100, 3.1, 3.3, 2.8, 3.0] * 4
+    rows = [(i, f"p{k}", "bw", "mass", str(g) + u) for k in range(3) for i, g, u in [(1000 * k + i, g, "" if 0 < i < 31 else " g" if not i else " kg") for i, g in enumerate(grams)]]
+    got = []
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for width, batch in ((1, "10000"), (1_000_000, "10000"), (1, "3"), (1_000_000, "3")):
+        df = spark.createDataFrame([(i * width, *x) for i, *x in rows], "id long, study string, f string, dim string, v string").withColumn("q", parse_quantity(F.col("v"), F.col("dim")))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            out = units.decode_units(df, ["study"], "id", "f", "dim", "q", F.col("q.unit")).collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        got.append(sorted((r.row_id // width, r.unit, r.told) for r in out))
+    assert len(got[0]) == len(rows) and got[1] == got[0] and got[2] == got[0] and got[3] == got[0]
+    assert [u for i, u, _ in got[0] if i < 8] == ["g"] * 4 + ["kg"] * 4
+
+
 def test_p6_brute_force(spark):
     """Rows with a plain number and a unit in the text or beside it, against a dictionary of factors."""
     day = {"d": 1, "day": 1, "days": 1, "w": 7, "wk": 7, "wks": 7, "weeks": 7, "week": 7, "mo": 30.4375, "months": 30.4375, "y": 365.25, "yr": 365.25, "yrs": 365.25, "years": 365.25}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -17,7 +18,7 @@ from sedimenta.llm.characters import plain, words
 
 #: Words of a window, of the shortest passage, and edits allowed in a passage of that length (one word in eight).
 WINDOW, PASSAGE, EDITS = 5, 16, 2
-#: A sentence found in this many evaluation items is a stock sentence.
+#: A sentence found in this many different evaluation texts is a stock sentence.
 STOCK = 3
 #: Evaluation words indexed at once; longer evaluation sets are searched in blocks of items, each against all documents.
 BLOCK_WORDS = 1_000_000
@@ -59,13 +60,19 @@ def template(ws: list[str], names: frozenset[str]) -> list[str]:
     return out
 
 
+def name_words(text: str) -> tuple[set[str], set[str]]:
+    """Words written with a capital inside sentences, and words in lower case."""
+    inside = {plain(m[1]) for m in re.finditer(r"(?<=[a-z,;] )([A-Z][a-z]+)\b", text)}
+    return inside, set(re.findall(r"\b[a-z]+\b", text))
+
+
 def names_of(texts: list[str]) -> frozenset[str]:
     """Words written with a capital inside sentences, and never in lower case, in the evaluation texts."""
     inside, lower = set(), set()
     for t in texts:
-        for m in re.finditer(r"(?<=[a-z,;] )([A-Z][a-z]+)\b", t):
-            inside.add(plain(m[1]))
-        lower.update(re.findall(r"\b[a-z]+\b", t))
+        a, b = name_words(t)
+        inside |= a
+        lower |= b
     return frozenset(inside - lower)
 
 
@@ -83,17 +90,55 @@ def codes(ids: np.ndarray, base: int) -> np.ndarray:
     return np.where(known, code & np.int64(2**63 - 1), -1)
 
 
-def stock_words(texts: list[str]) -> list[np.ndarray]:
-    """For each text the words (True) that belong to sentences found in ``STOCK`` or more texts."""
-    split = [[ws for x in re.split(r"(?<=[a-z0-9)][.?!])\s+", t or "") if (ws := words(x))] for t in texts]
-    seen = Counter(k for one in split for k in {" ".join(ws) for ws in one})
-    return [np.array([seen[" ".join(ws)] >= STOCK for ws in one for _ in ws], dtype=bool) for one in split]
+def sentences(text: str | None) -> list[list[str]]:
+    """The words of each sentence."""
+    return [ws for x in re.split(r"(?<=[a-z0-9)][.?!])\s+", text or "") if (ws := words(x))]
+
+
+def text_key(text: str) -> str:
+    """Equal for copies of one text: its words, digested."""
+    return hashlib.sha256(" ".join(words(text)).encode()).hexdigest()
+
+
+def stock_sentences(texts: list[str]) -> frozenset[str]:
+    """The sentences found in ``STOCK`` or more different texts; copies of a text count once."""
+    different = {text_key(t): t for t in texts if t}
+    seen = Counter(k for t in different.values() for k in {" ".join(ws) for ws in sentences(t)})
+    return frozenset(k for k, n in seen.items() if n >= STOCK)
+
+
+def stock_words(text: str | None, stock: frozenset[str]) -> np.ndarray:
+    """The words (True) of a text that belong to stock sentences."""
+    return np.array([" ".join(ws) in stock for ws in sentences(text) for _ in ws], dtype=bool)
+
+
+def of_all_items(items: DataFrame, item_text: str) -> tuple[frozenset[str], frozenset[str]]:
+    """``stock_sentences`` and ``names_of`` all items, counted where the items lie: only the stock sentences and names are collected."""
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for t in pdf["text"]:
+                inside, lower = name_words(t)
+                out += [("name", w, "") for w in inside] + [("lower", w, "") for w in lower]
+                out += [("sentence", k, text_key(t)) for k in {" ".join(ws) for ws in sentences(t)}]
+            if out:
+                yield pd.DataFrame(out, columns=["kind", "part", "text_key"])
+
+    found = items.select(F.col(item_text).alias("text")).where("text is not null").mapInPandas(parts, "kind string, part string, text_key string").distinct()
+    group = found.groupBy((F.col("kind") == "sentence").alias("whole"), "part")
+    counts = group.agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col("kind") == "lower").alias("lower"))
+    rows = counts.where(F.when(F.col("whole"), F.col("n") >= STOCK).otherwise(~F.col("lower"))).select("whole", "part").collect()
+    return frozenset(r.part for r in rows if r.whole), frozenset(r.part for r in rows if not r.whole)
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
-    names = names_of([t for _, t in items if t])
+def build_index(items: list[tuple[int, str]], stock_texts: frozenset[str] | None = None, names: frozenset[str] | None = None) -> Index:
+    """The index of a block of items; stock sentences and names are those of the whole evaluation set, of the block if none are given."""
+    texts = [t for _, t in items if t]
+    names = names_of(texts) if names is None else names
+    stock_texts = stock_sentences(texts) if stock_texts is None else stock_texts
     lists = [words(t) for _, t in items]
-    stock = [m if len(m) == len(ws) else np.zeros(len(ws), dtype=bool) for m, ws in zip(stock_words([t for _, t in items]), lists)]
+    stock = [m if len(m) == len(ws) else np.zeros(len(ws), dtype=bool) for m, ws in zip((stock_words(t, stock_texts) for _, t in items), lists)]
     vocabulary: dict[str, int] = {}
     all_codes, all_items, all_places, coded = [], [], [], []
     templates = [template(ws, names) for ws in lists]
@@ -236,15 +281,17 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_i
 
     Defined results: null, blank and short texts give nothing; a null document id is an id like any other, items without an id are left out; repeated documents are each reported,
     repeated items too; an empty side gives no rows; other columns are dropped. Items are read in blocks of ``BLOCK_WORDS`` words, so
-    the index sent out is bounded; the documents are read once per block and never shuffled.
+    the index sent out is bounded; the documents are read once per block and never shuffled. Stock sentences and names are counted once over
+    the different texts of all items, so the result does not change with copies of an item or with the blocks.
     """
     sc = docs.sparkSession.sparkContext
     total = items.agg(F.sum(F.length(item_text))).first()[0] or 0
     blocks = max(1, math.ceil(total / 6 / BLOCK_WORDS))
+    stock_texts, names = of_all_items(items.where(F.col(item_id).isNotNull()), item_text)
     out = None
     for b in range(blocks):
         part = items.where(F.col(item_id).isNotNull() & (F.pmod(F.xxhash64(item_id), F.lit(blocks)) == b)).select(item_id, item_text).collect()
-        shared = sc.broadcast(build_index([(r[0], r[1]) for r in part]))
+        shared = sc.broadcast(build_index([(r[0], r[1]) for r in part], stock_texts, names))
 
         def probe(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             index = shared.value

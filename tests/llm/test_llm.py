@@ -240,6 +240,20 @@ def test_leaks_of_frames(spark):
     assert leakage.find_leaks(docs.limit(0), items, "doc_id", "text", "item_id", "text").count() == 0
 
 
+def test_leaks_of_copies_and_blocks(spark, monkeypatch):
+    """Copies of an item are no stock sentences, a sentence of three different items is one; both whatever the blocks."""
+    rnd = random.Random(8)
+    sent = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(7)) for _ in range(n)) + "."
+    one, stock = f"{sent(20)} {sent(20)}", sent(20)
+    texts = [one, one + " ", one.upper()] + [f"{sent(20)} {stock} {sent(20)}" for _ in range(3)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = spark.createDataFrame([(10, f"{sent(9)} {one.split('.')[0]}. {sent(9)}"), (11, f"{sent(9)} {stock} {sent(9)}")], "doc_id long, text string")
+    for size in (leakage.BLOCK_WORDS, 20):
+        monkeypatch.setattr(leakage, "BLOCK_WORDS", size)
+        out = leakage.find_leaks(docs, items, "doc_id", "text", "item_id", "text").collect()
+        assert sorted((r.doc_id, r.item_id, r.kind) for r in out) == [(10, i, "passage") for i in range(3)]
+
+
 def test_words():
     assert words("The <b>Re-\n acquired</b> ﬁbre, [3] at 3.5 mg &amp; more") == ["the", "reacquired", "fibre", "at", "35", "mg", "more"]
     assert words(None) == [] and plain("Ünïcode ＡＢ") == "unicode ab"

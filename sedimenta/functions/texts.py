@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -105,10 +107,24 @@ def yes_no(c: Column) -> Column:
     return F.when(yes, True).when(s.isin("no", "n", "false", "0", "f", "negative", "absent", "nein", "non", "never"), False)
 
 
+#: Session-like tokens and e-mail addresses, and long numbers, with letters and digits of every script.
+TOKENS, LONG_NUMBERS = r"(?U)\b[A-Fa-f0-9]{16,}\b|[\w.+-]+@[\w-]+\.[\w.]+", r"(?U)\b\d{9,}\b"
+
+
 def sanitise(c: Column) -> Column:
     """Session-like tokens, e-mail addresses and long numbers blanked."""
-    s = F.regexp_replace(c, r"\b[A-Fa-f0-9]{16,}\b|[\w.+-]+@[\w-]+\.[\w.]+", "[id]")
-    return F.trim(F.regexp_replace(s, r"\b\d{9,}\b", "[n]"))
+    return F.trim(F.regexp_replace(F.regexp_replace(c, TOKENS, "[id]"), LONG_NUMBERS, "[n]"))
+
+
+def fold(c: Column) -> Column:
+    """Lower-case text without combining marks, compatibility forms resolved; null for null."""
+
+    @F.pandas_udf("string")
+    def folded(v: pd.Series) -> pd.Series:
+        plain = lambda x: "".join(k for k in unicodedata.normalize("NFKD", x) if not unicodedata.combining(k)).lower()
+        return v.map(plain, na_action="ignore")
+
+    return folded(c)
 
 
 def url_template(base: str, title: Column, body: Column) -> Column:

@@ -194,6 +194,19 @@ def sanitise(spark, d):
     return t.select("doc_id", T.sanitise(F.col("text")).alias("clean"), F.col("text").rlike(r"\b[A-Fa-f0-9]{16,}\b|[\w.+-]+@[\w-]+\.[\w.]+|\b\d{9,}\b").alias("changed"))
 
 
+@query()
+def sanitise_all(spark, d):
+    """Identifiers scrubbed from all texts, of any script."""
+    t, c = table(spark, d, "documents").where("text is not null"), F.col("text")
+    return t.select("doc_id", T.sanitise(c).alias("clean"), (c.rlike(T.TOKENS) | c.rlike(T.LONG_NUMBERS)).alias("changed"))
+
+
+@query()
+def fold_accents_all(spark, d):
+    """Accents folded in all values, of any script."""
+    return table(spark, d, "sample_attributes_new").where("value is not null").select("attr_id", T.fold(F.col("value")).alias("folded"))
+
+
 AGES = ["3 months", "P1Y6M", "2 weeks 3 days", "36", "10-12 weeks", "newborn", "seven months", "1.5 y", "unknown", "day 12", "24 h"]
 
 

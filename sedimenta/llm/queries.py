@@ -111,6 +111,14 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_leaks(spark, d).where("kind = 'passage'").select("doc_id", "item_id")
 
 
+def p9_reparameterised(spark: SparkSession, d: str) -> DataFrame:
+    """Every evaluation item, its parameters replaced by others, with the kind of leak it is recognised as (null: not recognised)."""
+    items = table(spark, d, "eval_items")
+    other = leakage.reparameterise(items, "item_id", "text")
+    found = leakage.find_leaks(other.withColumnRenamed("item_id", "doc_id"), items, "doc_id", "text", "item_id", "text").where("doc_id = item_id")
+    return other.select("item_id", "slots").join(found.select("item_id", "kind"), "item_id", "left")
+
+
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its score."""
     return toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "doc_reviews"))
@@ -139,6 +147,7 @@ QUERIES = {
     "p8_fill": p8_fill,
     "p9_found": p9_found,
     "p9_leaks": p9_leaks,
+    "p9_reparameterised": p9_reparameterised,
     "p10_found": p10_found,
     "p10_scores": p10_scores,
     "p10_rates": p10_rates,

@@ -240,20 +240,50 @@ def test_leaks_of_frames(spark):
     assert leakage.find_leaks(docs.limit(0), items, "doc_id", "text", "item_id", "text").count() == 0
 
 
-def test_leaks_of_copies_and_blocks(spark, monkeypatch):
-    """Copies of an item are no stock sentences, a sentence of three different items is one; both whatever the blocks."""
+def test_leaks_of_copies_and_both_joins(spark):
+    """Copies of an item are no stock sentences, a sentence of three different items is one; the broadcast and the exchange give the same rows."""
     rnd = random.Random(8)
     sent = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(7)) for _ in range(n)) + "."
     one, stock = f"{sent(20)} {sent(20)}", sent(20)
     texts = [one, one + " ", one.upper()] + [f"{sent(20)} {stock} {sent(20)}" for _ in range(3)]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
-    docs = spark.createDataFrame([(10, f"{sent(9)} {one.split('.')[0]}. {sent(9)}"), (11, f"{sent(9)} {stock} {sent(9)}")], "doc_id long, text string")
-    for size in (leakage.BLOCK_WORDS, 20):
-        monkeypatch.setattr(leakage, "BLOCK_WORDS", size)
-        out = leakage.find_leaks(docs, items, "doc_id", "text", "item_id", "text").collect()
+    docs = spark.createDataFrame([(10, f"{sent(9)} {one.split('.')[0]}. {sent(9)}"), (11, f"{sent(9)} {stock} {sent(9)}"), (10, "")], "doc_id long, text string")
+    for most in (leakage.BROADCAST_WORDS, 0):
+        out = leakage.find_leaks(docs, items, "doc_id", "text", "item_id", "text", most).collect()
         assert sorted((r.doc_id, r.item_id, r.kind) for r in out) == [(10, i, "passage") for i in range(3)]
 
 
+def test_exchange_equals_broadcast_on_the_tables(spark):
+    """All rows of the small tables through both joins."""
+    docs, items = [spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "eval_items")]
+    a, b = [sorted(map(tuple, leakage.find_leaks(docs, items, "doc_id", "text", "item_id", "text", n).collect())) for n in (leakage.BROADCAST_WORDS, 0)]
+    assert a == b and len(a) > 20
+
+
+def test_no_passage_is_lost_whatever_the_edits():
+    """Brute force over edit positions: every three changes in 24 words and every two in 16, also drops and insertions beside numbers and units."""
+    from itertools import combinations
+
+    for length, edits in ((16, 2), (24, 3)):
+        ws = [f"w{chr(97 + i)}x" for i in range(length)]
+        ws[5], ws[6], ws[11], ws[12] = "14", "weeks", "3", "mg"
+        index = leakage.build_index([(1, " ".join(ws))])
+        docs = []
+        for at in combinations(range(1, length - 1), edits):
+            docs.append(" ".join("zz" if i in at else w for i, w in enumerate(ws)))
+            docs.append(" ".join(w for i, w in enumerate(ws) if i not in at))
+            docs.append(" ".join(f"{w} qq" if i in at else w for i, w in enumerate(ws)))
+        got = leakage.search(pd.Series(docs), index)
+        assert {r for r, _, k in got if k == "passage"} == set(range(len(docs)))
+
+
+def test_items_with_other_parameters_are_recognised(spark):
+    """Recall of re-parameterised items over the whole evaluation set."""
+    rows = queries.p9_reparameterised(spark, "/root/testdata/sf0.01").collect()
+    assert sum(r.kind is not None for r in rows) >= 0.9 * len(rows) > 0
+    assert any(r.kind == "reparameterised" for r in rows)
+
+
 def test_words():
     assert words("The <b>Re-\n acquired</b> ﬁbre, [3] at 3.5 mg &amp; more") == ["the", "reacquired", "fibre", "at", "35", "mg", "more"]
     assert words(None) == [] and plain("Ünïcode ＡＢ") == "unicode ab"

@@ -87,8 +87,28 @@ def p8_pack(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that exceed a budget's capacity alone and so were split by the packing."""
-    return p8_pack(spark, d).where("split and piece = 0").select("budget_name", "doc_id")
+    """Documents that exceed a budget's capacity alone and so were split by the packing: those with a second piece in a container."""
+    return p8_pack(spark, d).where("piece = 1 and container >= 0").select("budget_name", "doc_id")
+
+
+def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What every packing must keep, per budget: documents and tokens placed, containers overfull, documents split that fit, and whether the
+    containers are within 3 % (and one) of the fewest possible."""
+    placed = p8_pack(spark, d)
+    caps = table(spark, d, "pack_budgets").where("capacity_tokens > 0").groupBy("budget_name").agg(F.max("capacity_tokens").alias("capacity"))
+    used = placed.groupBy("budget_name", "container").agg(
+        F.sum("length").cast("long").alias("used"),
+        F.count_if(F.col("piece") == 0).alias("documents"),
+    )
+    j = used.join(F.broadcast(caps), "budget_name")  # a budget is a setting; there are a handful
+    g = j.groupBy("budget_name", "capacity").agg(
+        F.sum("documents").alias("documents"), F.sum("used").alias("tokens"), F.count_if(F.col("used") > F.col("capacity")).alias("overfull"), F.count_if(F.col("container") >= 0).alias("containers")
+    )
+    small = placed.where("piece = 1").groupBy("budget_name").agg(F.count_if(F.col("length") <= 0).alias("split_small"))
+    fewest = F.ceil(F.col("tokens") / F.col("capacity"))
+    return g.join(small, "budget_name", "left").select(
+        "budget_name", "documents", "tokens", "overfull", F.coalesce("split_small", F.lit(0)).alias("split_small"), (F.col("containers") <= F.ceil(fewest * 1.03) + 1).alias("nearly_fewest")
+    )
 
 
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -143,6 +163,7 @@ QUERIES = {
     "p7_found": p7_found,
     "p7_misses": p7_misses,
     "p8_found": p8_found,
+    "p8_invariants": p8_invariants,
     "p8_pack": p8_pack,
     "p8_fill": p8_fill,
     "p9_found": p9_found,
@@ -157,6 +178,10 @@ SQL = {
     "p8_found": """
 select b.budget_name, d.doc_id from documents d join pack_budgets b
 on coalesce(octet_length(encode(d.text)), 0) + 1 > b.capacity_tokens
+""",
+    "p8_invariants": """
+select budget_name, count(*) as documents, sum(coalesce(octet_length(encode(d.text)), 0) + 1)::bigint as tokens, 0 as overfull, 0 as split_small, true as nearly_fewest
+from documents d cross join (select budget_name, max(capacity_tokens) as c from pack_budgets where capacity_tokens > 0 group by 1) b group by 1
 """,
     "p1_found": r"""
 with rel as (select release_id, package_version, row_number() over (order by release_date, release_id) as k from releases),

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A transition counts as learned when it was seen this often, and more often than its reverse.
-LEAST_SUPPORT = 3
+from sedimenta.operators.eav import small
+
+#: A transition counts as learned when it was seen this often, and more often than its reverse by more than chance would give: the square
+#: of the difference exceeds this many times the sum (99 % of a normal law).
+LEAST_SUPPORT, BEYOND_CHANCE = 3, 6.63
+#: Up to this many unstamped rows their groups are sent to the tasks; beyond, the planner shuffles.
+FEW_UNSTAMPED = 200_000
 
 
 def learn_transitions(rows: DataFrame, group: list[str], attribute: str, value: str, rank: str, least_support: int = LEAST_SUPPORT) -> DataFrame:
@@ -14,7 +19,7 @@ def learn_transitions(rows: DataFrame, group: list[str], attribute: str, value:
 
     Within a group the values are put in the order of their time stamps (one value per stamp: the smallest); each pair of
     consecutive different values is a transition. A transition is kept if seen ``least_support`` times or more and more
-    often than its reverse. Rows are first reduced to one per group and stamp, so a group's array is no longer than the number of
+    often than its reverse beyond chance (``BEYOND_CHANCE``), so values without an order of their own teach none. Rows are first reduced to one per group and stamp, so a group's array is no longer than the number of
     distinct stamps.
     """
     stamped = rows.where(F.col(value).isNotNull() & F.col(rank).isNotNull())
@@ -36,7 +41,8 @@ def learn_transitions(rows: DataFrame, group: list[str], attribute: str, value:
         .groupBy("__f", lo.alias("lo"), hi.alias("hi"))
         .agg(F.count_if(F.col("p.a") < F.col("p.b")).alias("up"), F.count_if(F.col("p.a") > F.col("p.b")).alias("down"))
     )
-    kept = seen.where((F.col("up") != F.col("down")) & (F.greatest("up", "down") >= least_support))
+    clear = F.pow(F.col("up") - F.col("down"), 2) > BEYOND_CHANCE * (F.col("up") + F.col("down"))
+    kept = seen.where(clear & (F.greatest("up", "down") >= least_support))
     up = F.col("up") > F.col("down")
     return kept.select(
         F.col("__f").alias("attribute"),
@@ -52,17 +58,40 @@ def latest_by_order(candidates: DataFrame, group: list[str], attribute: str, val
     precedence among its distinct values; its topologically latest values are those without a successor in the group (all values
     of a cycle have one, so none of them is latest).
     """
-    missing = candidates.where(F.col(rank).isNull() & F.col(value).isNotNull()).select(*group, value).distinct()
-    present = candidates.where(F.col(value).isNotNull()).select(*[F.col(c).alias(f"__{c}") for c in group], F.col(value).alias("__later")).distinct()
+    lone = candidates.where(F.col(rank).isNull() & F.col(value).isNotNull()).select(*group, value)
+    few = lone.limit(FEW_UNSTAMPED + 1).count() <= FEW_UNSTAMPED
+    sent = F.broadcast if few else lambda df: df  # all of it is bounded by the unstamped rows
+    missing = lone.distinct()
+    names = [F.col(c).alias(f"__{c}") for c in group]
+    same = [F.col(c) == F.col(f"__{c}") for c in group]
+    # Only groups with an unstamped row have anything to be placed.
+    open_groups = candidates.where(F.col(value).isNotNull()).join(sent(missing.select(*group).distinct()), group, "left_semi")
+    present = open_groups.select(*names, F.col(value).alias("__later")).distinct()
     p = precedence.select(F.col("attribute").alias("__pf"), F.col("earlier").alias("__pe"), F.col("later").alias("__pl"))
     after = missing.join(p, (F.col(attribute) == F.col("__pf")) & (F.col(value) == F.col("__pe")))
-    same = [F.col(c) == F.col(f"__{c}") for c in group] + [F.col("__pl") == F.col("__later")]
-    beaten = after.join(present, same, "left_semi").select(*[F.col(c).alias(f"__{c}") for c in group], F.col(value).alias("__bv")).distinct()
-    on = [F.col(c) == F.col(f"__{c}") for c in group] + [F.col(value) == F.col("__bv"), F.col(rank).isNull()]
-    out = candidates.join(beaten, on, "left")
+    beaten = after.join(present, [*same, F.col("__pl") == F.col("__later")], "left_semi").select(*names, F.col(value).alias("__bv")).distinct()
+    out = candidates.join(sent(beaten), [*same, F.col(value) == F.col("__bv"), F.col(rank).isNull()], "left")
     return out.withColumn("is_latest", F.when(F.col(rank).isNull(), F.col("__bv").isNull())).drop("__bv", *[f"__{c}" for c in group])
 
 
+def currency_score(rows: DataFrame, group: list[str], attribute: str, value: str, rank: str, held: Column) -> DataFrame:
+    """(``attribute``, ``groups``, ``decided``, ``right``): how well the partial order finds the latest value where stamps are missing.
+
+    The stamps of the groups for which ``held`` is true are hidden; the precedence is learned from the other groups; in each held
+    group with two or more values the topologically latest values are taken. ``decided`` groups have exactly one, ``right`` ones the
+    value that the hidden stamps say is the latest. Rows without group, value or stamp are ignored.
+    """
+    rows = rows.where(" and ".join(f"`{c}` is not null" for c in [*group, value, rank]))
+    truth = rows.where(held).groupBy(*group).agg(F.max_by(value, F.struct(rank, value)).alias("__true"), F.count_distinct(value).alias("__n")).where("__n > 1")
+    precedence = learn_transitions(rows.where(~held), group, attribute, value, rank)
+    hidden = rows.where(held).join(truth.select(*group), group, "left_semi").withColumn(rank, F.lit(None).cast("int"))
+    placed = latest_by_order(hidden, group, attribute, value, rank, precedence)
+    g = placed.where("is_latest").groupBy(*group).agg(F.count_distinct(value).alias("latest"), F.min(value).alias("__v"))
+    one = F.coalesce(F.col("latest") == 1, F.lit(False))
+    out = truth.join(g, group, "left").groupBy(attribute)
+    return out.agg(F.count(F.lit(1)).alias("groups"), F.count_if(one).alias("decided"), F.count_if(one & (F.col("__v") == F.col("__true"))).alias("right"))
+
+
 def golden_records(
     rows: DataFrame,
     group: list[str],
@@ -88,7 +117,10 @@ def golden_records(
     the exchange, so no group is ever gathered.
     """
     rows = rows.where(" and ".join(f"`{c}` is not null" for c in group))
-    precedence = learn_transitions(rows, group, attribute, value, rank)
+    # Only attributes with an unstamped candidate need a precedence.
+    wanted = rows.where(current & F.col(rank).isNull()).select(F.col(attribute).alias("__wanted")).distinct()
+    taught = rows.join(small(wanted), F.col(attribute) == F.col("__wanted"), "left_semi")
+    precedence = learn_transitions(taught, group, attribute, value, rank)
     cand = latest_by_order(rows.where(current), group, attribute, value, rank, precedence)
     big = F.lit(2**31 - 1).cast("long")
     order = F.struct(

@@ -17,8 +17,7 @@ ROUTES = ["r1", "r2", "r3", "r4"]
 TOXIC = 0.5
 
 
-def p1_golden(spark: SparkSession, d: str) -> DataFrame:
-    """One record per sample and field with two or more current determinations, its gaps filled from the others."""
+def _determinations(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "sample_determinations_all").select(
         "det_id",
         entity_key(F.col("sample_key")).alias("sample_key"),
@@ -39,7 +38,18 @@ def p1_golden(spark: SparkSession, d: str) -> DataFrame:
     )
     releases = table(spark, d, "releases")
     rows = with_release_rank(with_release_rank(rows, releases, "release_added", "r1"), releases, "package_added", "r2")
-    rows = rows.withColumn("rank", F.coalesce("r1", "r2")).drop("r1", "r2")
+    return rows.withColumn("rank", F.coalesce("r1", "r2")).drop("r1", "r2")
+
+
+def p1_currency(spark: SparkSession, d: str) -> DataFrame:
+    """Per field, how often the partial order finds the latest value of groups whose stamps are hidden (a fifth, by a hash of the sample)."""
+    held = F.pmod(F.xxhash64("sample_key"), F.lit(5)) == 0
+    return golden.currency_score(_determinations(spark, d), ["sample_key", "field_name"], "field_name", "v", "rank", held)
+
+
+def p1_golden(spark: SparkSession, d: str) -> DataFrame:
+    """One record per sample and field with two or more current determinations, its gaps filled from the others."""
+    rows = _determinations(spark, d)
     place = F.lit(len(ROUTES))
     for i, r in enumerate(ROUTES):
         place = F.when(F.col("route") == r, i).otherwise(place)
@@ -160,6 +170,7 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_golden": p1_golden,
+    "p1_currency": p1_currency,
     "p7_found": p7_found,
     "p7_misses": p7_misses,
     "p8_found": p8_found,

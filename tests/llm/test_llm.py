@@ -55,7 +55,7 @@ def test_golden_order_and_gaps(spark):
 
 def test_currency_places_rows_without_stamps(spark):
     """Elsewhere ``old`` is always followed by ``new``; where the stamps are missing the later value survives."""
-    rows = [(i * 2 + k, f"t{i}", "x", v, r, 0.5, None, True, "") for i in range(4) for k, (v, r) in enumerate([("old", 1), ("new", 2)])]
+    rows = [(i * 2 + k, f"t{i}", "x", v, r, 0.5, None, True, "") for i in range(8) for k, (v, r) in enumerate([("old", 1), ("new", 2)])]
     rows += [(100, "u", "x", "old", None, 0.5, None, True, ""), (101, "u", "x", "new", None, 0.5, None, True, "")]
     got = gold(spark, rows)
     assert got["u", "x"][0] == 101
@@ -63,6 +63,23 @@ def test_currency_places_rows_without_stamps(spark):
     assert [(r.attribute, r.earlier, r.later) for r in p] == [("x", "old", "new")]
 
 
+def test_currency_on_hidden_stamps(spark):
+    """A planted order with a tenth of the stamps wrong is learned and decides held groups; values without an order decide none."""
+    rnd = random.Random(11)
+    rows, n = [], 0
+    for i in range(400):
+        values = ["draft", "checked", "curated"]
+        for r, v in enumerate(values if rnd.random() > 0.1 else values[::-1]):
+            rows.append((n := n + 1, f"g{i}", "state", v, r, 0.5, None, True, ""))
+        for r, v in enumerate(rnd.sample(["red", "green", "blue"], 3)):
+            rows.append((n := n + 1, f"g{i}", "colour", v, r, 0.5, None, True, ""))
+    df = spark.createDataFrame(rows, G)
+    got = {r.f: r for r in golden.currency_score(df, ["g", "f"], "f", "v", "r", F.pmod(F.xxhash64("g"), F.lit(4)) == 0).collect()}
+    assert got["state"].decided == got["state"].groups > 50 and got["state"].right >= 0.8 * got["state"].groups
+    assert got["colour"].decided <= 0.1 * got["colour"].groups
+    assert golden.currency_score(df.limit(0), ["g", "f"], "f", "v", "r", F.lit(True)).count() == 0
+
+
 # Values to a list
 
 TERMS = [(1, "country", "US", "United States of America", "USA|United States"), (2, "country", "AU", "Australia", None), (3, "country", "NG", "Nigeria", None), (4, "sex", "female", "Female", "F"), (5, "sex", "male", "Male", "M")]

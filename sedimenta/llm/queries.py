@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.keys import canonical_value, entity_key, folded, is_placeholder, with_release_rank
 from sedimenta.llm import golden, leakage, packing, toxicity, vocabulary
+from sedimenta.llm.aliases import ALIASES, OTHERS
 from sedimenta.operators import eav
 from sedimenta.sources.tables import checkpointed, table
 
@@ -64,19 +65,26 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_golden(spark, d).select("sample_key", "field_name", "det_id")
 
 
-def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    """Every value of a vocabulary key with the entry it means, 0 where the list has none."""
+def _vocabulary_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = eav.attributes(table(spark, d, "sample_attributes_new"), table(spark, d, "attribute_field_map"))
-    rows = rows.where((F.lower("parser") == "vocabulary") & ~is_placeholder(F.col("value")))
-    return vocabulary.map_values(rows, table(spark, d, "vocab_terms"), "attr_id", "field_name", "value")
+    return rows.where((F.lower("parser") == "vocabulary") & ~is_placeholder(F.col("value")))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every value of a vocabulary key with the entry it means, 0 where the list has none; with the further names of ``aliases``."""
+    return vocabulary.map_values(_vocabulary_rows(spark, d), table(spark, d, "vocab_terms"), "attr_id", "field_name", "value", ALIASES, OTHERS)
+
+
+def p7_unaided(spark: SparkSession, d: str) -> DataFrame:
+    """The same from the reference list alone, without further names: what the dictionary finds by itself."""
+    return vocabulary.map_values(_vocabulary_rows(spark, d), table(spark, d, "vocab_terms"), "attr_id", "field_name", "value")
 
 
 def p7_misses(spark: SparkSession, d: str) -> DataFrame:
     """The values that no entry stands for, by field, with their number of rows."""
-    rows = eav.attributes(table(spark, d, "sample_attributes_new"), table(spark, d, "attribute_field_map"))
-    rows = rows.where((F.lower("parser") == "vocabulary") & ~is_placeholder(F.col("value")))
+    rows = _vocabulary_rows(spark, d)
     kinds = rows.groupBy("field_name", folded(F.col("value")).alias("typed")).agg(F.count(F.lit(1)).alias("n_rows"), F.min("attr_id").alias("attr_id"))
-    found = vocabulary.map_values(kinds, table(spark, d, "vocab_terms"), "attr_id", "field_name", "typed").where("term_id = 0")
+    found = vocabulary.map_values(kinds, table(spark, d, "vocab_terms"), "attr_id", "field_name", "typed", ALIASES, OTHERS).where("term_id = 0")
     return kinds.join(found.select("attr_id"), "attr_id", "left_semi").select("field_name", F.col("typed").alias("typed_value"), "n_rows")
 
 
@@ -172,6 +180,7 @@ QUERIES = {
     "p1_golden": p1_golden,
     "p1_currency": p1_currency,
     "p7_found": p7_found,
+    "p7_unaided": p7_unaided,
     "p7_misses": p7_misses,
     "p8_found": p8_found,
     "p8_invariants": p8_invariants,

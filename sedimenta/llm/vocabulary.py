@@ -12,10 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.aliases import ALIASES, OTHERS
 from sedimenta.llm.characters import plain
 
-#: A dictionary of more names than this is not broadcast; the lookup is then a join.
+#: A list of more entries than this is not broadcast; candidates are then found by a join, with the same result.
 MAX_BROADCAST_NAMES = 20_000
 # Words that leave the meaning of a longer text to the other words.
 NOISE = re.compile(r"\b(?:the|of|a|an|de|la|le|sample|samples|swab|swabs|specimen|cohort)\b")
@@ -89,37 +88,54 @@ def distance(typed: str, name: str, most: int) -> float | None:
     return w if e <= most else None
 
 
-def names_of(terms: list[tuple]) -> dict[tuple[str, str], int]:
-    """(vocabulary, normal name) -> term id, 0 for names known to be no entry. Labels, codes and synonyms go before aliases."""
+def names_of(terms: list[tuple], aliases: dict[str, dict[str, str]] | None = None) -> list[tuple[str, str, int, int]]:
+    """(vocabulary, normal name, term id, place) of all names of some entries; of equal names the one with the smaller (place, term id) counts.
+
+    Labels, synonyms and codes go before the further names of ``aliases`` (by vocabulary and code, separated by ``|``).
+    """
+    out = []
+    for term_id, vocabulary, code, label, synonyms in terms:
+        if vocabulary is None:
+            continue
+        own = [label, code, *(synonyms or "").split("|")]
+        more = (aliases or {}).get(vocabulary, {}).get(code or "", "").split("|")
+        out += [(vocabulary, normal(x), int(term_id), place) for place, xs in enumerate((own, more)) for x in xs if x and normal(x)]
+    return out
+
+
+def other_names(others: dict[str, str] | None) -> list[tuple[str, str, int, int]]:
+    """Names known to be no entry, as ``names_of`` with term id 0 and the last place."""
+    return [(v, normal(x), 0, 2) for v, xs in (others or {}).items() for x in xs.split("|") if normal(x)]
+
+
+def settled(names: list[tuple[str, str, int, int]]) -> dict[tuple[str, str], int]:
+    """(vocabulary, name) -> term id: one entry per name."""
     out: dict[tuple[str, str], int] = {}
-    for own in (True, False):
-        for term_id, vocabulary, code, label, synonyms in sorted(terms, key=lambda t: t[0]):
-            if vocabulary is None:
-                continue
-            listed = [label, synonyms and synonyms.split("|"), code] if own else [ALIASES.get(vocabulary, {}).get(code or "", "").split("|")]
-            for x in listed:
-                for name in [x] if isinstance(x, str) else x or []:
-                    if normal(name):
-                        out.setdefault((vocabulary, normal(name)), term_id)
-    for vocabulary, names in OTHERS.items():
-        for name in names.split("|"):
-            if name:
-                out.setdefault((vocabulary, normal(name)), 0)
+    for v, name, term, _ in sorted(names, key=lambda x: (x[3], x[2])):
+        out.setdefault((v, name), term)
     return out
 
 
+def readings(value: str) -> tuple[str, list[str], list[str], str]:
+    """What of a value is looked up: the whole, the parts before and after separators, and the whole without noise words."""
+    s = normal(value)
+    heads = [normal(value.split(sep)[0]) for sep in (":", ",", ";", "(") if sep in value]
+    tails = [normal(x) for x in re.split(r"[,;:()]", value)[1:]]
+    return s, heads, tails, " ".join(NOISE.sub(" ", s).split())
+
+
 class Dictionary:
     """The symmetric-delete dictionary: every name with up to its reach of letters left out."""
 
-    def __init__(self, names: dict[tuple[str, str], int], frequency: dict[int, int]):
+    def __init__(self, names: dict[tuple[str, str], int], frequency: dict[int, int], longest: int | None = None):
         self.names, self.frequency = names, frequency
         self.by_delete: dict[tuple[str, str], list[str]] = defaultdict(list)
-        self.heads: dict[str, list[tuple[str, ...]]] = defaultdict(list)
-        self.longest = max((len(n) for _, n in names), default=0) + 2  # no longer text is within reach of a name
+        self.lengths: dict[str, set[int]] = defaultdict(set)
+        self.longest = longest if longest is not None else max((len(n) for _, n in names), default=0) + 2  # no longer text is within reach
         for (v, name), term in names.items():
             for d in deletes(name, reach(len(name))) if term else ():  # names of other things count only as written
                 self.by_delete[v, d].append(name)
-            self.heads[v].append(tuple(name.split()))
+            self.lengths[v].add(len(name.split()))
 
     def best(self, vocabulary: str, found: list[tuple[float, str]]) -> int | None:
         """The term of the nearest name; the more frequent term, then the smaller id, on a tie."""
@@ -137,70 +153,71 @@ class Dictionary:
     def inside(self, vocabulary: str, s: str) -> int | None:
         """The one entry whose names stand in the text as whole words; longer names hide the shorter ones within them."""
         ws, hits = s.split(), []
-        for name in self.heads.get(vocabulary, ()):
-            k = len(name)
+        for k in self.lengths.get(vocabulary, ()):
             for i in range(len(ws) - k + 1):
-                if tuple(ws[i : i + k]) == name and (k > 1 or len(name[0]) > 2):
-                    hits.append((i, i + k, self.names[vocabulary, " ".join(name)]))
+                name = " ".join(ws[i : i + k])
+                if (vocabulary, name) in self.names and (k > 1 or len(name) > 2):
+                    hits.append((i, i + k, self.names[vocabulary, name]))
         top = [h for h in hits if not any(o != h and o[0] <= h[0] and h[1] <= o[1] and o[1] - o[0] > h[1] - h[0] for o in hits)]
         terms = {t for _, _, t in top}
         return terms.pop() if len(terms) == 1 else 0 if terms else None
 
     def find(self, vocabulary: str, value: str) -> int:
         """The term id of a typed value, 0 if the list has no entry for it."""
-        s = normal(value)
+        s, heads, tails, short = readings(value)
         if not s:
             return 0
-        exact = self.names.get((vocabulary, s))
-        if exact is not None:
-            return exact
-        head = [normal(value.split(sep)[0]) for sep in (":", ",", ";", "(") if sep in value]
-        for h in head:
+        for h in (s, *heads):
             if h and (vocabulary, h) in self.names:
                 return self.names[vocabulary, h]
-        tail = [normal(x) for x in re.split(r"[,;:()]", value)[1:]]
-        got = self.near(vocabulary, s)
-        if got is not None:
+        if (got := self.near(vocabulary, s)) is not None:
             return got
-        got = self.inside(vocabulary, s)
-        if got is not None:
+        if (got := self.inside(vocabulary, s)) is not None:
             return got
-        for h in [*head, *tail]:
+        for h in [*heads, *tails]:
             if h and (got := self.near(vocabulary, h)) is not None:
                 return got
-        short = " ".join(NOISE.sub(" ", s).split())
         if short and short != s and (got := self.near(vocabulary, short)) is not None:
             return got
         return 0
 
 
-def map_values(rows: DataFrame, terms: DataFrame, row_id: str, vocabulary: str, value: str) -> DataFrame:
+def map_values(
+    rows: DataFrame,
+    terms: DataFrame,
+    row_id: str,
+    vocabulary: str,
+    value: str,
+    aliases: dict[str, dict[str, str]] | None = None,
+    others: dict[str, str] | None = None,
+    most_broadcast: int = MAX_BROADCAST_NAMES,
+) -> DataFrame:
     """(``row_id``, ``term_id``): every row with the entry of its vocabulary that its value means, 0 where the list has none.
 
-    A symmetric-delete dictionary of all names (labels, synonyms, codes, known aliases, and known names of other things) finds every name within
-    the bounded edit distance of a value; candidates are ranked by weighted Damerau-Levenshtein distance, then by how often their term
-    occurs written exactly in all rows (``frequency``). Values without a near name are searched for one listed name
-    among their words. Misses come out as 0 and can be counted.
+    A symmetric-delete dictionary of all names (labels, synonyms, codes, the caller's ``aliases`` and ``others``, names of things that are no entry)
+    finds every name within the bounded edit distance of a value; candidates are ranked by weighted Damerau-Levenshtein distance, then
+    by how often their term occurs written exactly in all rows (``frequency``). Values without a near name are searched for one
+    listed name among their words. Misses come out as 0 and can be counted.
 
     Defined results: rows with a null id are left out; rows with a null value or vocabulary give 0, so do empty and very long texts that hold no name; repeated rows are each
     reported; on equal distance and frequency the smaller term id wins; an empty table gives no rows, an empty list only zeros; other
     columns are dropped.
 
-    Scale: the dictionary is broadcast while it has at most ``MAX_BROADCAST_NAMES`` names - no exchange of the rows, each distinct value of
-    a batch is looked up once. A larger list goes through ``map_by_join``.
+    Scale: the dictionary is broadcast while the list has at most ``most_broadcast`` entries - no exchange of the rows, each distinct value
+    of a batch is looked up once. For a longer list the names that can matter to each distinct value are found by a join on
+    deletes and word runs, and the same lookup is made among these (``_by_join``): the rows are the same.
     """
-    entries = terms.where("term_id is not null and vocabulary is not null").select("term_id", "vocabulary", "code", "label", "synonyms")
+    entries = terms.where("term_id is not null and vocabulary is not null").select(F.col("term_id").cast("long").alias("term_id"), "vocabulary", "code", "label", "synonyms")
     key = F.col(row_id).cast("long")
     src = rows.where(key.isNotNull()).select(key.alias("row_id"), F.col(vocabulary).alias("vocabulary"), F.col(value).alias("value"))
-    if entries.limit(MAX_BROADCAST_NAMES + 1).count() > MAX_BROADCAST_NAMES:
-        return map_by_join(src, entries).withColumnRenamed("row_id", row_id)
-    names = names_of([tuple(r) for r in entries.collect()])
-    listed = F.broadcast(rows.sparkSession.createDataFrame([(v, n, t) for (v, n), t in names.items()] or [("", "", 0)], "v string, n string, t long"))
-    # How often each term is written exactly: values are counted before anything is joined.
-    squeezed = F.trim(F.regexp_replace(F.regexp_replace(F.lower("value"), "[.'’]", ""), r"[^a-z0-9]+", " "))
-    written = src.where("value is not null").groupBy("vocabulary", squeezed.alias("n2")).agg(F.count(F.lit(1)).alias("c"))
-    freq = written.join(listed, (F.col("vocabulary") == F.col("v")) & (F.col("n2") == F.col("n"))).groupBy("t").agg(F.sum("c").alias("c"))
-    shared = rows.sparkSession.sparkContext.broadcast((names, {r.t: r.c for r in freq.collect()}))
+    spark = rows.sparkSession
+    other = other_names(others)
+    if entries.limit(most_broadcast + 1).count() > most_broadcast:
+        return _by_join(src, entries, aliases, other).withColumnRenamed("row_id", row_id)
+    names = settled([*names_of([tuple(r) for r in entries.collect()], aliases), *other])
+    listed = F.broadcast(spark.createDataFrame([(v, n, t) for (v, n), t in names.items()] or [("", "", 0)], "vocabulary string, n2 string, t long"))
+    freq = _written(src).join(listed, ["vocabulary", "n2"]).groupBy("t").agg(F.sum("c").alias("c"))
+    shared = spark.sparkContext.broadcast((names, {r.t: r.c for r in freq.collect()}))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         d = Dictionary(*shared.value)
@@ -218,43 +235,67 @@ def map_values(rows: DataFrame, terms: DataFrame, row_id: str, vocabulary: str,
     return src.mapInPandas(find, "row_id long, term_id long").withColumnRenamed("row_id", row_id)
 
 
-def map_by_join(src: DataFrame, entries: DataFrame) -> DataFrame:
-    """The same lookup for lists too long to broadcast: names and distinct values are exploded into their deletes and joined by them.
+def _written(src: DataFrame) -> DataFrame:
+    """(vocabulary, n2, c): how often each value occurs as written, but for case and signs; counted before anything is joined."""
+    squeezed = F.trim(F.regexp_replace(F.regexp_replace(F.lower("value"), "[.'’]", ""), r"[^a-z0-9]+", " "))
+    return src.where("value is not null").groupBy("vocabulary", squeezed.alias("n2")).agg(F.count(F.lit(1)).alias("c"))
+
 
-    Only whole values are looked up (no names inside longer texts). Both sides are spread by (vocabulary, delete).
+def _by_join(src: DataFrame, entries: DataFrame, aliases: dict | None, other: list[tuple[str, str, int, int]]) -> DataFrame:
+    """The same lookup for lists too long to broadcast.
+
+    A name can matter to a value only if it shares a delete with one of the value's readings or stands in the value as a run of whole words. Names
+    and distinct values are exploded into these keys and joined by them, spread by (vocabulary, key); each value then looks among its own few names.
     """
+    spark = src.sparkSession
 
-    listed = F.greatest(F.length("label"), F.length("code"), F.length("synonyms"), F.lit(40))
-    longest = (entries.agg(F.max(listed)).first()[0] or 40) + 2  # no longer text is within reach of a name
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame(names_of([tuple(r) for r in pdf.itertuples(index=False)], aliases), columns=["vocabulary", "name", "term_id", "place"])
 
-    def expand(kind: str):
+    kind = "vocabulary string, name string, term_id long, place int"
+    every = entries.mapInPandas(listed, kind)
+    every = every.unionByName(spark.createDataFrame(other, kind)) if other else every
+    names = every.groupBy("vocabulary", "name").agg(F.min_by("term_id", F.struct("place", "term_id")).alias("term_id"))
+    longest, words = names.agg(F.max(F.length("name")), F.max(F.size(F.split("name", " ")))).first()
+    longest, words = (longest or 0) + 2, words or 0
+
+    def keys(of_names: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                out = []
-                for r in pdf.itertuples(index=False):
-                    if kind == "name":
-                        got = names_of([tuple(r)])
-                        out += [(v, d, n, t) for (v, n), t in got.items() if t for d in deletes(n, reach(len(n)))]
+                for v, x in zip(pdf["vocabulary"], pdf["x"]):
+                    if of_names:
+                        found = {f"d {d}" for d in deletes(x, reach(len(x)))} | {f"w {x}"}
                     else:
-                        s = normal(r.value)
-                        out += [(r.vocabulary, d, r.value, s) for d in (deletes(s, reach(len(s))) if len(s) <= longest else ())]
-                yield pd.DataFrame(out, columns=["vocabulary", "d", "a", "b"])
+                        s, heads, tails, short = readings(x)
+                        found = {f"d {d}" for r in {s, *heads, *tails, short} if r and len(r) <= longest for d in deletes(r, reach(len(r)))}
+                        ws = s.split()
+                        found |= {f"w {' '.join(ws[i : i + k])}" for k in range(1, words + 1) for i in range(len(ws) - k + 1)}
+                        found |= {f"w {h}" for h in heads}
+                    yield pd.DataFrame({"vocabulary": v, "k": list(found), "x": x})
 
         return run
 
-    names = entries.mapInPandas(expand("name"), "vocabulary string, d string, a string, b long").selectExpr("vocabulary", "d", "a as name", "b as term_id")
-    values = src.where("value is not null and vocabulary is not null").groupBy("vocabulary", "value").agg(F.count(F.lit(1)).alias("c"))
-    typed = values.mapInPandas(expand("value"), "vocabulary string, d string, a string, b string").selectExpr("vocabulary", "d", "a as value", "b as s")
+    values = src.where("value is not null and vocabulary is not null").select("vocabulary", F.col("value").alias("x")).distinct()
+    shape = "vocabulary string, k string, x string"
+    n = names.select("vocabulary", F.col("name").alias("x")).mapInPandas(keys(True), shape).withColumnRenamed("x", "name")
+    pairs = values.mapInPandas(keys(False), shape).join(n, ["vocabulary", "k"]).select("vocabulary", "x", "name").distinct()
+    known = names.join(_written(src).withColumnRenamed("n2", "name"), ["vocabulary", "name"], "left")
+    frequency = known.groupBy("term_id").agg(F.sum("c").alias("f"))
+    named = pairs.join(names, ["vocabulary", "name"]).join(frequency, "term_id", "left")
+    # As many names as lie within two edits of a value or stand in it.
+    own = named.groupBy("vocabulary", "x").agg(F.collect_list(F.struct("name", "term_id", F.coalesce("f", F.lit(0)).alias("f"))).alias("names"))
 
-    @F.pandas_udf("double")
-    def weight(s: pd.Series, name: pd.Series) -> pd.Series:
-        return pd.Series([distance(x, y, min(reach(len(x)), reach(len(y)))) for x, y in zip(s, name)], dtype="float64")
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for v, x, ns in zip(pdf["vocabulary"], pdf["x"], pdf["names"]):
+                d = Dictionary({(v, r["name"]): r["term_id"] for r in ns}, {r["term_id"]: r["f"] for r in ns}, longest)
+                out.append(d.find(v, x))
+            yield pd.DataFrame({"vocabulary": pdf["vocabulary"], "x": pdf["x"], "term_id": np.array(out, dtype=np.int64)})
 
-    pairs = typed.join(names, ["vocabulary", "d"]).select("vocabulary", "value", "s", "name", "term_id").distinct()
-    near = pairs.withColumn("w", weight("s", "name")).where("w is not null")
-    exact = near.where("w = 0").join(values, ["vocabulary", "value"]).groupBy("term_id").agg(F.sum("c").alias("f"))
-    ranked = near.join(exact, "term_id", "left")
-    best = ranked.groupBy("vocabulary", "value").agg(F.min(F.struct("w", -F.coalesce("f", F.lit(0)), "term_id"))["term_id"].alias("term_id"))
+    best = own.mapInPandas(find, "vocabulary string, x string, term_id long").where("term_id <> 0").withColumnsRenamed({"vocabulary": "v", "x": "value2"})
     salted = best.withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(15))))  # a hot value is shared out to 16 tasks
-    left = src.withColumn("z", F.pmod(F.xxhash64("row_id"), F.lit(16)).cast("int"))
-    return left.join(salted, ["vocabulary", "value", "z"], "left").select("row_id", F.coalesce("term_id", F.lit(0)).alias("term_id"))
+    left = src.withColumn("z2", F.pmod(F.xxhash64("row_id"), F.lit(16)).cast("int"))
+    j = left.join(salted, (F.col("vocabulary") == F.col("v")) & (F.col("value") == F.col("value2")) & (F.col("z") == F.col("z2")), "left")
+    return j.select("row_id", F.coalesce("term_id", F.lit(0)).alias("term_id"))

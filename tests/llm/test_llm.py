@@ -373,3 +373,14 @@ def test_scoring_of_frames(spark):
     assert toxicity.score_documents(docs, rev).count() == 5
     assert {r.score for r in toxicity.score_documents(docs, rev.limit(0)).collect()} == {0.0}
     assert toxicity.score_documents(docs.limit(0), rev).count() == 0
+
+
+def test_other_scripts_are_read(spark):
+    """Words of scripts without lexicons are learned from labels; unspaced scripts are read as pairs of signs; a repeated id takes one text."""
+    assert [t for s in toxicity.sentences("Дщюж бизнес. 你好世界！") for t in s[0]][-3:] == ["你好", "好世", "世界"]
+    assert toxicity.sentences("Дщюж")[0][0] != []
+    bad, good = "Щэфж дюъл вас.", "Здесь щю фёдор и лодка."
+    docs = spark.createDataFrame([(i, (bad if i % 2 else good) + f" {i}", "s") for i in range(200)] + [(1, "zz", "s")], "doc_id long, text string, source string")
+    rev = spark.createDataFrame([(i, "r", i % 2) for i in range(160)], "doc_id long, reviewer string, toxic int")
+    score = {r.doc_id: r.score for r in toxicity.score_documents(docs, rev).where("doc_id >= 160").collect()}
+    assert all((v >= 0.5) == bool(i % 2) for i, v in score.items())

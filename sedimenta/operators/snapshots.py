@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 #: A chunk ends, on average, after this many keys.
 CHUNK_KEYS = 64
-#: Rows wanted in one bucket (over all snapshots); a bucket is what one task sorts.
-BUCKET_ROWS = 200_000
+#: Bytes of the table's files wanted in one bucket (over all snapshots); a bucket is what one task sorts.
+BUCKET_BYTES = 4_000_000
 
 
 def snapshot_changes(
@@ -21,7 +21,7 @@ def snapshot_changes(
     value: Column,
     delivered: Column,
     chunk_keys: int = CHUNK_KEYS,
-    bucket_rows: int = BUCKET_ROWS,
+    buckets: int = 0,
 ) -> DataFrame:
     """(``snapshot``, ``k0``.., ``change_kind``): keys added, removed or changed against the snapshot before.
 
@@ -30,10 +30,10 @@ def snapshot_changes(
     equal, a null differs from any value. The first snapshot gives nothing. Rows with a null snapshot or a null in
     any key are ignored. An empty table gives no rows; other columns are not carried.
 
-    Plan. Keys are hashed to buckets and each bucket of each snapshot is sorted by key. A key whose hash is a multiple of
-    ``chunk_keys`` opens a chunk, so the same keys give the same chunks in every snapshot and a change moves only the
-    borders beside it. A chunk is known by its first key, its count and two 64-bit digests of its rows. Chunks
-    that agree in consecutive snapshots are discarded; the rows of the others are brought together by key. As both sides are
+    Plan. Keys are hashed to ``buckets`` (0: by the size of the files, without a count) and each bucket of each snapshot is sorted by key. A key
+    whose hash is a multiple of ``chunk_keys`` opens a chunk, so the same keys give the same chunks in every snapshot and a change moves only
+    the borders beside it. A chunk is known by its first key, its count and two 64-bit digests of its rows. Chunks that agree in
+    consecutive snapshots are discarded; only the rows of the others are taken once per side and brought together by key. As all is
     partitioned by bucket, windows, digests and the final comparison need no exchange beyond one by bucket; repeated
     rows of a hot key are reduced before the first exchange.
     """
@@ -41,48 +41,27 @@ def snapshot_changes(
     src = rows.select(
         snapshot.alias("snapshot"), *[c.alias(a) for c, a in zip(keys, k)], value.alias("v"), delivered.alias("d")
     ).where(" and ".join(f"{c} is not null" for c in ["snapshot", *k]))
-    buckets = max(16, math.ceil(rows.count() / bucket_rows))
+    buckets = buckets or max(16, math.ceil(file_bytes(rows) / BUCKET_BYTES))
     one = src.groupBy("snapshot", *k).agg(F.max(F.struct("d", "v"))["v"].alias("v"))
     h = F.xxhash64(*k)
-    one = one.withColumn("bucket", F.pmod(F.xxhash64(F.lit("bucket"), *k), F.lit(buckets)).cast("int"))
-    one = one.repartition("bucket").join(F.broadcast(previous), "snapshot")  # a list of snapshots, not of rows
+    one = one.withColumn("bucket", F.pmod(F.xxhash64(F.lit("bucket"), *k), F.lit(buckets)).cast("int")).withColumn("h", h)
     w = Window.partitionBy("bucket", "snapshot").orderBy(*k)
-    opens = F.when(F.pmod(h, F.lit(chunk_keys)) == 0, F.struct(*k))
-    chunked = one.withColumn("chunk", F.last(opens, ignorenulls=True).over(w))
-    sides = chunked.select(
-        "bucket",
-        "chunk",
-        *k,
-        "v",
-        F.explode(
-            F.array(
-                F.struct(F.when(F.col("has_previous"), F.col("snapshot")).alias("pair"), F.lit(1).alias("side")),
-                F.struct(F.col("next_snapshot").alias("pair"), F.lit(0).alias("side")),
-            )
-        ).alias("x"),
-    ).select("bucket", "chunk", *k, "v", "x.pair", "x.side")
-    sides = sides.where("pair is not null")
-    digests = sides.groupBy("bucket", "pair", "chunk", "side").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64(*k, F.col("v"), F.col("v").isNull())).alias("h1"),
-        F.bit_xor(F.xxhash64(F.lit(7), *k, F.col("v"), F.col("v").isNull())).alias("h2"),
+    opens = F.when(F.pmod("h", F.lit(chunk_keys)) == 0, F.col("h"))
+    # Rows before the first opening key of a bucket belong to chunk 0.
+    chunked = one.repartition("bucket").withColumn("chunk", F.coalesce(F.last(opens, ignorenulls=True).over(w), F.lit(0).cast("long")))
+    digests = chunked.groupBy("bucket", "snapshot", "chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h", F.col("v"), F.col("v").isNull())).alias("h1"), F.bit_xor(F.xxhash64(F.lit(7), *k, F.col("v"), F.col("v").isNull())).alias("h2")
     )
-    # Both sides present with one digest: nothing in the chunk changed.
-    unmatched = (
-        digests.groupBy("bucket", "pair", "chunk")
-        .agg(
-            F.count(F.lit(1)).alias("present"),
-            F.min(F.struct("n", "h1", "h2")).alias("lo"),
-            F.max(F.struct("n", "h1", "h2")).alias("hi"),
-        )
-        .where("present < 2 or lo <> hi")
-        .select("bucket", "pair", F.col("chunk").alias("c2"))
-    )
-    left = sides.join(
-        unmatched.withColumnRenamed("bucket", "b2").withColumnRenamed("pair", "p2"),
-        (F.col("bucket") == F.col("b2")) & (F.col("pair") == F.col("p2")) & F.col("chunk").eqNullSafe(F.col("c2")),
-        "left_semi",
+    pairs = F.array(
+        F.struct(F.when(F.col("has_previous"), F.col("snapshot")).alias("pair"), F.lit(1).alias("side")), F.struct(F.col("next_snapshot").alias("pair"), F.lit(0).alias("side"))
     )
+    sides = digests.join(F.broadcast(previous), "snapshot").select("bucket", "snapshot", "chunk", "n", "h1", "h2", F.explode(pairs).alias("x"))  # a list of snapshots, not of rows
+    sides = sides.select("bucket", "snapshot", "chunk", "n", "h1", "h2", "x.pair", "x.side").where("pair is not null")
+    # Both sides present with one digest: nothing in the chunk changed. At most one row per side.
+    found = F.collect_list(F.struct("n", "h1", "h2", "snapshot", "side")).alias("s")
+    unmatched = sides.groupBy("bucket", "pair", "chunk").agg(found).where("size(s) < 2 or s[0].n <> s[1].n or s[0].h1 <> s[1].h1 or s[0].h2 <> s[1].h2")
+    wanted = unmatched.select(F.col("bucket").alias("b2"), F.col("chunk").alias("c2"), "pair", F.explode("s").alias("s")).select("b2", "c2", "pair", F.col("s.snapshot").alias("s2"), F.col("s.side").alias("side"))
+    left = chunked.join(wanted, (F.col("bucket") == F.col("b2")) & (F.col("snapshot") == F.col("s2")) & (F.col("chunk") == F.col("c2")))
     both = left.groupBy("bucket", "pair", *k).agg(
         F.max("side").alias("now"),
         F.min("side").alias("before"),
@@ -98,6 +77,13 @@ def snapshot_changes(
     return out.select(F.col("pair").alias("snapshot"), *k, "change_kind")
 
 
+def file_bytes(df: DataFrame) -> int:
+    """Bytes of the files a frame reads, as the planner knows them from the file listing; 0 where it reads none. No job runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
+    return max([x for x in map(int, sizes) if x < 1 << 60], default=0)
+
+
 def consecutive(rows: DataFrame, snapshot: Column, ranks: DataFrame) -> DataFrame:
     """(``snapshot``, ``next_snapshot``, ``has_previous``) of the snapshots that were delivered, in the order of their rank.
 

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from sedimenta.functions.keys import entity_key, is_placeholder, normal_key
 from sedimenta.functions.quantities import DIMENSIONS, dimension, parse_quantity, unit_of
 from sedimenta.functions.times import keep, let, parse_time
+from sedimenta.sources.tables import checkpointed
 
 #: A field map longer than this is not broadcast.
 MAX_BROADCAST_KEYS = 20_000
+#: Most columns of a wide table; a longer list of keys is an error, never cut.
+MOST_COLUMNS = 20_000
 
 
 def small(df: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> DataFrame:
@@ -110,6 +113,8 @@ def told_units(rows: DataFrame, companions: DataFrame) -> DataFrame:
     r = keep(r.where(~is_placeholder(F.col("value"))), "q", parse_quantity(F.col("value"), F.col("dim")))
     r = r.withColumn("u1", F.coalesce(F.col("q.unit"), unit_of(F.col("attr_units"), F.col("dim"))))
     r = r.withColumn("marked", F.col("u1").isNotNull() | F.col("q.common").isNotNull())
+    # Texts are read and parsed once; what follows reads a narrow table of the quantities.
+    r = checkpointed(r.select("attr_id", "sample_key", "study_accession", "attr_key_norm", "field_name", "unit_default", "note", "dim", "q", "u1", "marked"))
     lone = r.where("not marked")
     comp = (
         companions.withColumn("__dim", F.explode(F.array(*[F.lit(d) for d in ("time", "mass", "length", "temp")])))

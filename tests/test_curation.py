@@ -141,7 +141,7 @@ def test_snapshot_changes_brute_force(spark):
     rows += [("s1", k, "old", 0) for k in list(snaps[1])[:50]] + rows[:100] + [(None, "k1", "x", 1), ("s1", None, "x", 1)]
     df = spark.createDataFrame(rows, "r string, k string, v string, t int")
     prev = spark.createDataFrame([(f"s{i}", f"s{i + 1}" if i < 3 else None, i > 0) for i in range(4)], "snapshot string, next_snapshot string, has_previous boolean")
-    run = lambda x: snapshots.snapshot_changes(x, F.col("r"), prev, [F.col("k")], F.col("v"), F.col("t"), chunk_keys=8, bucket_rows=100)
+    run = lambda x: snapshots.snapshot_changes(x, F.col("r"), prev, [F.col("k")], F.col("v"), F.col("t"), chunk_keys=8, buckets=20)
     got = {(r.snapshot, r.k0, r.change_kind) for r in run(df).collect()}
     want = set()
     for i in range(1, 4):
@@ -276,6 +276,21 @@ def test_units_do_not_depend_on_the_width_of_ids(spark):
     assert [u for i, u, _ in got[0] if i < 8] == ["g"] * 4 + ["kg"] * 4
 
 
+def test_hot_devices_are_spread_with_the_same_result(spark):
+    """One device of most rows, in stretches of about 16 rows, whole and spread over tasks by blocks of ids."""
+    grams = [3000.0, 3200, 2900, 3100, 3.1, 3.3, 2.8, 3.0]
+    rows = [(i * 7, "hot" if i % 9 else f"s{i % 5}", "bw", "mass", f"{grams[i % 8]}" + (" g" if i % 11 == 0 and i % 8 < 4 else "")) for i in range(900)] + [(7, "hot", "bw", "mass", "3000")] * 2
+    df = spark.createDataFrame(rows, "id long, study string, f string, dim string, v string").withColumn("q", parse_quantity(F.col("v"), F.col("dim")))
+    run = lambda hot: sorted(map(tuple, units.decode_units(df, ["study"], "id", "f", "dim", "q", F.col("q.unit"), hot_rows=hot, stretch_rows=16).collect()))
+    assert run(10**6) == run(50) and len(run(50)) == len(rows)
+
+
+def test_too_many_columns_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(eav, "MOST_COLUMNS", 3)
+    with pytest.raises(ValueError):
+        curation.p5_wide(spark, SF)
+
+
 def test_p6_brute_force(spark):
     """Rows with a plain number and a unit in the text or beside it, against a dictionary of factors."""
     day = {"d": 1, "day": 1, "days": 1, "w": 7, "wk": 7, "wks": 7, "weeks": 7, "week": 7, "mo": 30.4375, "months": 30.4375, "y": 365.25, "yr": 365.25, "yrs": 365.25, "years": 365.25}

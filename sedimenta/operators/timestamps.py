@@ -10,11 +10,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions.times import DAY_US, US
+from sedimenta.functions.times import DAY_US, US, days_from_civil, valid_day
 
-#: Years for which offsets are tabulated; local times outside get the offset at the nearest border.
-FIRST_YEAR, LAST_YEAR = 1900, 2100
+#: Years for which offsets are tabulated. Before the first no zone of the database had changed yet; after the last the rules repeat by calendar, so
+#: a later year takes the offsets of the tabulated year that begins on the same weekday and is as long.
+FIRST_YEAR, LAST_YEAR = 1800, 2100
+CYCLE = range(2072, 2100)
 SALTS = 32
+#: A dimension of up to this many rows is sent to every task instead of being salted.
+MAX_BROADCAST_ROWS = 500_000
 
 
 def _transitions(zone: zoneinfo.ZoneInfo, lo: int, hi: int) -> list[tuple[int, int]]:
@@ -56,7 +60,7 @@ def zone_years(zones: DataFrame, zone_col: str) -> DataFrame:
                 t = _transitions(zone, first, last)
                 ends = [x for x, _ in t[1:]] + [last + 86400]
                 local = [(max(a + o, -(2**53)), e + o, o) for (a, o), e in zip(t, ends)]
-                local[0] = (first - 86400 * 366, local[0][1], local[0][2])
+                local[0] = (-(1 << 40), local[0][1], local[0][2])  # nothing changed before
                 ids, years, lists = [], [], []
                 for y in range(FIRST_YEAR, LAST_YEAR + 1):
                     a = int(dt.datetime(y, 1, 1, tzinfo=dt.timezone.utc).timestamp())
@@ -84,27 +88,38 @@ def resolve_local(df: DataFrame, zones: DataFrame, parsed: str, zone: Column, ou
     p = F.col(parsed)
     local = p["local_us"]
     day = ((local - F.pmod(local, F.lit(DAY_US))) / F.lit(DAY_US)).cast("int")
-    year = F.least(F.greatest(F.year(F.date_from_unix_date(day)), F.lit(FIRST_YEAR)), F.lit(LAST_YEAR))
+    year = F.greatest(F.year(F.date_from_unix_date(day)), F.lit(FIRST_YEAR))
+    # A year beyond the table is looked up in one of the same kind, its times moved by the days between the two.
+    jan1 = days_from_civil(year, F.lit(1), F.lit(1))
+    kind = F.pmod(jan1, F.lit(7)) * 2 + F.when(valid_day(year, F.lit(2), F.lit(29)), 1).otherwise(0)
+    base = dt.date(1970, 1, 1)
+    alike = {((dt.date(y, 1, 1) - base).days % 7) * 2 + (y % 4 == 0): y for y in CYCLE}
+    like = F.when(year > LAST_YEAR, F.try_element_at(F.create_map(*[F.lit(x) for k, y in alike.items() for x in (k, y)]), kind.cast("int"))).otherwise(year)
+    shift = F.when(year > LAST_YEAR, (jan1 - days_from_civil(like, F.lit(1), F.lit(1))) * F.lit(DAY_US)).otherwise(F.lit(0).cast("long"))
     z = F.broadcast(zones.select(F.col("zone_id").alias("__z"), F.col("zone_year").alias("__y"), F.col("stretches").alias("__s")))
     want_zone = F.coalesce(p["zone_id"], zone)
-    j = df.withColumn("__want", F.when(p["offset_min"].isNull(), want_zone)).withColumn("__year", F.when(p["offset_min"].isNull(), year))
+    j = df.withColumn("__want", F.when(p["offset_min"].isNull(), want_zone)).withColumn("__year", F.when(p["offset_min"].isNull(), like)).withColumn("__at", local - shift)
     j = j.join(z, (F.col("__want") == F.col("__z")) & (F.col("__year") == F.col("__y")), "left")
-    holds = F.filter("__s", lambda x: (x["lo"] <= local) & (local < x["hi"]))
-    before = F.filter("__s", lambda x: x["lo"] <= local)
+    at = F.col("__at")
+    holds = F.filter("__s", lambda x: (x["lo"] <= at) & (at < x["hi"]))
+    before = F.filter("__s", lambda x: x["lo"] <= at)
     off = F.when(F.size(holds) > 0, F.array_max(F.transform(holds, lambda x: x["off"]))).otherwise(
         F.element_at(F.transform(F.array_sort(before), lambda x: x["off"]), -1)
     )
     off = F.when(p["offset_min"].isNotNull(), p["offset_min"].cast("long") * F.lit(60 * US)).otherwise(F.when(F.size(before) > 0, off))
-    return j.withColumn(out, local - off).drop("__want", "__year", "__z", "__y", "__s")
+    return j.withColumn(out, local - off).drop("__want", "__year", "__at", "__z", "__y", "__s")
 
 
-def salted_lookup(df: DataFrame, dim: DataFrame, on: str, salt: Column, salts: int = SALTS) -> DataFrame:
-    """Left join to a dimension with unique ``on``, hot keys spread over ``salts`` copies of each dimension row.
+def salted_lookup(df: DataFrame, dim: DataFrame, on: str, salt: Column, salts: int = SALTS, most: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Left join to a dimension with unique ``on``, safe for hot keys.
 
-    A key that holds a third of all rows is shared out to ``salts`` tasks; the dimension is repeated, not the
-    rows. Null keys find nothing and are spread too.
+    A dimension of up to ``most`` rows (counted) is sent to every task, so the rows do not move at all. A larger one is repeated ``salts`` times and
+    joined by a shuffle, so a key that holds a third of all rows is shared out to ``salts`` tasks. Null keys find nothing and are spread too.
     """
-    d = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed(on, "__on")
+    d = dim.withColumnRenamed(on, "__on")
+    if d.limit(most + 1).count() <= most:
+        return df.join(F.broadcast(d), df[on] == d["__on"], "left").drop("__on")
+    d = d.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     left = df.withColumn("__salt", F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
     j = left.join(d, (left[on] == d["__on"]) & (left["__salt"] == d["__salt"]), "left")
     return j.drop(d["__salt"]).drop("__on", "__salt")

@@ -76,6 +76,26 @@ def test_zone_offsets_against_zoneinfo(spark):
         assert utc(spark, texts) == want
 
 
+def test_years_beyond_the_table(spark):
+    """Every eleventh day of years from 1700 to 9000 at noon, against the standard library."""
+    for name in ("Europe/Berlin", "America/New_York", "Australia/Sydney"):
+        z, texts, want = zoneinfo.ZoneInfo(name), [], {}
+        for year in (1700, 1799, 1850, 2100, 2101, 2104, 2150, 2200, 2399, 2400, 3333, 9000):
+            for day in range(0, 365, 11):
+                at = dt.datetime(year, 1, 1, 12) + dt.timedelta(days=day)
+                text = at.strftime("%Y-%m-%d %H:%M")
+                texts.append((text, name, "dmy"))
+                want[text] = (at - at.replace(tzinfo=z).utcoffset()).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+        assert utc(spark, texts) == want
+
+
+def test_lookup_is_the_same_salted(spark):
+    left = spark.createDataFrame([(i, f"k{i % 3}" if i % 5 else None) for i in range(60)], "id long, k string")
+    dim = spark.createDataFrame([("k0", 1), ("k1", 2)], "k string, v int")
+    a, b = [sorted(map(str, timestamps.salted_lookup(left, dim, "k", F.col("id"), most=n).collect())) for n in (100, 0)]
+    assert a == b and len(a) == 60
+
+
 def test_p2_against_plain_reading(spark):
     """The rows of ISO notation, read by the standard library."""
     got = {(r.table_name, r.row_id): r.utc_text for r in curation.p2_found(spark, SF).collect()}

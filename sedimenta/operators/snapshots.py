@@ -7,8 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A chunk ends, on average, after this many keys.
-CHUNK_KEYS = 64
+#: A chunk ends, on average, after this many keys. Short chunks find equal ones although a tenth of the keys change.
+CHUNK_KEYS = 16
 #: Bytes of the table's files wanted in one bucket (over all snapshots); a bucket is what one task sorts.
 BUCKET_BYTES = 4_000_000
 
@@ -33,9 +33,9 @@ def snapshot_changes(
     Plan. Keys are hashed to ``buckets`` (0: by the size of the files, without a count) and each bucket of each snapshot is sorted by key. A key
     whose hash is a multiple of ``chunk_keys`` opens a chunk, so the same keys give the same chunks in every snapshot and a change moves only
     the borders beside it. A chunk is known by its first key, its count and two 64-bit digests of its rows. Chunks that agree in
-    consecutive snapshots are discarded; only the rows of the others are taken once per side and brought together by key. As all is
-    partitioned by bucket, windows, digests and the final comparison need no exchange beyond one by bucket; repeated
-    rows of a hot key are reduced before the first exchange.
+    consecutive snapshots are discarded; only the rows of the others are taken, once per side, and brought together by key. Digests are laid beside
+    the rows by windows over a chunk (its keys times the snapshots). As all is partitioned by bucket, windows and the final comparison need no
+    exchange beyond one by bucket; repeated rows of a hot key are reduced before the first exchange.
     """
     k = [f"k{i}" for i in range(len(keys))]
     src = rows.select(
@@ -49,19 +49,23 @@ def snapshot_changes(
     opens = F.when(F.pmod("h", F.lit(chunk_keys)) == 0, F.col("h"))
     # Rows before the first opening key of a bucket belong to chunk 0.
     chunked = one.repartition("bucket").withColumn("chunk", F.coalesce(F.last(opens, ignorenulls=True).over(w), F.lit(0).cast("long")))
-    digests = chunked.groupBy("bucket", "snapshot", "chunk").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h", F.col("v"), F.col("v").isNull())).alias("h1"), F.bit_xor(F.xxhash64(F.lit(7), *k, F.col("v"), F.col("v").isNull())).alias("h2")
+    chunked = chunked.join(F.broadcast(_neighbours(previous)), "snapshot")  # a list of snapshots, not of rows
+    same = Window.partitionBy("bucket", "chunk", "snapshot")
+    own = F.struct(
+        F.count(F.lit(1)).over(same).alias("n"), F.bit_xor(F.xxhash64("h", F.col("v"), F.col("v").isNull())).over(same).alias("h1"), F.bit_xor(F.xxhash64(F.lit(7), *k, F.col("v"), F.col("v").isNull())).over(same).alias("h2")
     )
-    pairs = F.array(
-        F.struct(F.when(F.col("has_previous"), F.col("snapshot")).alias("pair"), F.lit(1).alias("side")), F.struct(F.col("next_snapshot").alias("pair"), F.lit(0).alias("side"))
+    x = chunked.withColumn("own", own)
+    x = x.withColumn("all", F.collect_set(F.struct("snapshot", "own")).over(Window.partitionBy("bucket", "chunk")))  # one digest per snapshot
+    of = lambda name: F.get(F.filter("all", lambda e: e["snapshot"] == name), 0)["own"]
+    # Both sides present with one digest: nothing in the chunk changed.
+    differs = lambda name: F.col(name).isNotNull() & ~F.coalesce(of(F.col(name)) == F.col("own"), F.lit(False))
+    sides = F.array_compact(
+        F.array(
+            F.when(differs("previous_snapshot"), F.struct(F.col("snapshot").alias("pair"), F.lit(1).alias("side"))),
+            F.when(differs("next_snapshot"), F.struct(F.col("next_snapshot").alias("pair"), F.lit(0).alias("side"))),
+        )
     )
-    sides = digests.join(F.broadcast(previous), "snapshot").select("bucket", "snapshot", "chunk", "n", "h1", "h2", F.explode(pairs).alias("x"))  # a list of snapshots, not of rows
-    sides = sides.select("bucket", "snapshot", "chunk", "n", "h1", "h2", "x.pair", "x.side").where("pair is not null")
-    # Both sides present with one digest: nothing in the chunk changed. At most one row per side.
-    found = F.collect_list(F.struct("n", "h1", "h2", "snapshot", "side")).alias("s")
-    unmatched = sides.groupBy("bucket", "pair", "chunk").agg(found).where("size(s) < 2 or s[0].n <> s[1].n or s[0].h1 <> s[1].h1 or s[0].h2 <> s[1].h2")
-    wanted = unmatched.select(F.col("bucket").alias("b2"), F.col("chunk").alias("c2"), "pair", F.explode("s").alias("s")).select("b2", "c2", "pair", F.col("s.snapshot").alias("s2"), F.col("s.side").alias("side"))
-    left = chunked.join(wanted, (F.col("bucket") == F.col("b2")) & (F.col("snapshot") == F.col("s2")) & (F.col("chunk") == F.col("c2")))
+    left = x.select("bucket", *k, "v", F.explode(sides).alias("x")).select("bucket", *k, "v", "x.pair", "x.side")
     both = left.groupBy("bucket", "pair", *k).agg(
         F.max("side").alias("now"),
         F.min("side").alias("before"),
@@ -84,6 +88,12 @@ def file_bytes(df: DataFrame) -> int:
     return max([x for x in map(int, sizes) if x < 1 << 60], default=0)
 
 
+def _neighbours(previous: DataFrame) -> DataFrame:
+    """(``snapshot``, ``previous_snapshot``, ``next_snapshot``) of a list of snapshots."""
+    before = previous.where("next_snapshot is not null").select(F.col("next_snapshot").alias("snapshot"), F.col("snapshot").alias("previous_snapshot"))
+    return previous.select("snapshot", "next_snapshot").join(F.broadcast(before), "snapshot", "left")
+
+
 def consecutive(rows: DataFrame, snapshot: Column, ranks: DataFrame) -> DataFrame:
     """(``snapshot``, ``next_snapshot``, ``has_previous``) of the snapshots that were delivered, in the order of their rank.
 

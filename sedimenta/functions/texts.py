@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sedimenta.functions.keys import folded
+
 # Accession patterns by kind.
 ACCESSIONS = {
     "study": r"\b(?:PRJ[A-Z]{2}\d+|[ESD]RP\d{5,})\b",
@@ -66,7 +68,7 @@ def split_multi(c: Column) -> Column:
         .when(s.startswith("["), F.from_json(s, "array<string>"))
         .otherwise(F.split(s, r"\s*(?:\||;)\s*"))
     )
-    return F.array_distinct(F.filter(F.transform(parts, F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def split_prefix(c: Column) -> Column:
@@ -157,7 +159,7 @@ def lineage_parts(c: Column, sep: str = "; ") -> dict[str, Column]:
 
 def has_code(c: Column, code: str) -> Column:
     """Whether a ``;`` list holds a code."""
-    return F.coalesce(F.array_contains(F.transform(F.split(c, ";"), F.trim), code), F.lit(False))
+    return F.coalesce(F.array_contains(F.transform(F.split(c, ";"), lambda x: F.trim(x)), code), F.lit(False))
 
 
 def lint(stmt: Column, rules: dict[str, str]) -> Column:
@@ -202,9 +204,15 @@ def differs(kind: str, a: Column, b: Column) -> Column:
     return F.lower(F.trim(a)) != F.lower(F.trim(b))
 
 
+def number(c: Column) -> Column:
+    """A text that is a number and nothing else, else null (``36d``, ``inf`` and ``nan`` are none)."""
+    s = F.trim(c)
+    return F.when(s.rlike(r"^[-+]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]{1,3})?$"), s).try_cast("double")
+
+
 def int_scale(c: Column, lo: int, hi: int) -> Column:
     """A whole number within a range, else null; ranges and means are no whole numbers."""
-    x = F.when(F.trim(c) != "", F.trim(c)).try_cast("double")
+    x = number(c)
     return F.when((x % 1 == 0) & x.between(lo, hi), x).try_cast("int")
 
 
@@ -233,3 +241,93 @@ def partial_date(c: Column, most_year: int) -> Column:
     ok = s.rlike(iso) & yi.between(1980, most_year) & (mi.isNull() | mi.between(1, 12))
     whole = F.when(di.isNotNull(), F.try_to_date(text)).isNotNull() | di.isNull()
     return F.when(ok & whole, text)
+
+
+# Words that tell the kind of library in its selection, source and gene fields.
+ASSAYS = {
+    "amplicon": r"\b(?:16s|18s|its[12]?|amplicons?|rrna|v[1-9](?:-?v[1-9])?|515f|806r|pcr)\b",
+    "shotgun": r"\b(?:shotgun|wgs|whole[- ]genome|metagenom\w*|random)\b",
+    "transcript": r"\b(?:rna-?seq|transcriptom\w*|metatranscriptom\w*|cdna)\b",
+}
+
+
+def assay_tells(parts: dict[str, Column]) -> dict[str, Column]:
+    """Per assay the sorted ``;`` list of the labelled texts that tell it, null if none does."""
+    hit = lambda c, p: F.coalesce(F.lower(c).rlike(p), F.lit(False))
+    out = {}
+    for assay, p in ASSAYS.items():
+        names = F.array_compact(F.array(*[F.when(hit(c, p), F.lit(n)) for n, c in sorted(parts.items())]))
+        out[assay] = F.when(F.size(names) > 0, F.array_join(names, ";"))
+    return out
+
+
+def ontology_ids(c: Column, prefixes: list[str]) -> Column:
+    """Sorted distinct ontology ids of a text (``UBERON:0001988``, also with an underscore), upper case with a colon."""
+    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(rf"(?i)\b({'|'.join(prefixes)})[:_]([0-9]{{4,8}})\b"), F.lit(0))
+    return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.upper(F.replace(x, F.lit("_"), F.lit(":"))))))
+
+
+# Words that take back what they stand beside.
+HEDGES = r"\b(?:semi|mostly|partly|occasional(?:ly)?|sometimes|possibl[ey]|probabl[ey]|suspected|likely|maybe)\b"
+
+
+def guard(code: Column, term: Column, raw: Column, known: Column, match_terms: Column) -> Column:
+    """Why a proposed code is not kept, null if it is.
+
+    In this order: ``not in vocabulary`` (``known`` false or null), ``no span`` (the justifying term is empty or not in the raw text), ``negated`` (a denial
+    within three words before the term), ``hedged``, ``no match term`` (none of the code's terms, nor the code, is in the span). Texts are compared folded.
+    """
+    t, r = folded(term), folded(raw)
+    at = F.instr(r, t)
+    before = F.substring(r, F.lit(1), at - 1)
+    denied = before.rlike(rf"\b(?:{NEGATORS})(?:\W+\w+){{0,2}}\W*$")
+    terms = F.transform(F.coalesce(match_terms, F.array().cast("array<string>")), folded)
+    match = F.exists(terms, lambda x: (x != "") & t.contains(x)) | t.contains(F.replace(folded(code), F.lit("_"), F.lit(" ")))
+    return ladder(
+        [
+            (~F.coalesce(known, F.lit(False)), "not in vocabulary"),
+            (F.coalesce(t, F.lit("")) == "", "no span"),
+            (F.coalesce(at, F.lit(0)) == 0, "no span"),
+            (denied, "negated"),
+            (t.rlike(HEDGES) | r.rlike(HEDGES), "hedged"),
+            (~match, "no match term"),
+        ],
+        None,
+    )
+
+
+# What an evidence source begins with, and the outcomes of a screening.
+SOURCES = ["sample.attr", "sample.title", "paper", "supplement", "study", "catalog", "curator"]
+
+
+def evidence_problem(source: Column, quote: Column, confidence: Column, locator: Column, most_words: int = 12) -> Column:
+    """The first breach of the evidence contract, null if there is none: a labelled source, a non-empty quote of at most ``most_words`` words, a
+    confidence from 0 to 1, and a locator."""
+    s, words = F.lower(F.trim(source)), F.size(F.split(F.trim(quote), r"\s+"))
+    labelled = F.lit(False)
+    for p in SOURCES:
+        labelled = labelled | s.startswith(p)
+    return first_message(
+        [
+            (labelled, "source without label"),
+            (F.trim(quote) != "", "no quote"),
+            (words <= most_words, "quote too long"),
+            (confidence.between(0, 1), "confidence out of range"),
+            (F.trim(locator) != "", "no locator"),
+        ]
+    )
+
+
+def best_id_header(df, columns: list[str], least: float = 0.6):
+    """(column, form, share, n): the form of each column whose filled values share one, most id-like first; the first row is the best header.
+
+    Forms from strict to loose: accession, letters then digits, parts joined by signs, whole number; the strictest that ``least`` of the values have counts.
+    """
+    forms = [("accession", r"^(?:SAM[A-Z]{2}\d+|[ESD]R[SRX]\d{5,})$"), ("code", r"^[A-Za-z]{1,5}[-_.]?\d{2,6}$"), ("composite", r"^[A-Za-z0-9]+(?:[-_.][A-Za-z0-9]+){1,4}$"), ("number", r"^\d{1,9}$")]
+    v = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.trim(F.col(c).cast("string")).alias("v")) for c in columns])).alias("x")).select("x.*").where("v <> ''")
+    g = v.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("v").alias("d"), *[F.avg(F.col("v").rlike(p).cast("double")).alias(f) for f, p in forms])
+    form = ladder([(F.col(f) >= least, f) for f, _ in forms], None)
+    share = F.coalesce(*[F.when(F.col(f) >= least, F.col(f)) for f, _ in forms])
+    place = F.coalesce(*[F.when(F.col(f) >= least, F.lit(i)) for i, (f, _) in enumerate(forms)])
+    out = g.select("column", form.alias("form"), share.alias("share"), "n", place.alias("__p"), (F.col("d") / F.col("n")).alias("__u")).where("form is not null")
+    return out.orderBy("__p", F.desc("__u"), F.desc("share"), "column").drop("__p", "__u")  # one row per column

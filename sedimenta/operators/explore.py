@@ -30,7 +30,7 @@ def violations(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
 
 def validate_list(c: Column, allowed: list[str]) -> Column:
     """A ``;`` list with its valid codes sorted and distinct, null if none is left."""
-    kept = F.array_sort(F.array_distinct(F.filter(F.transform(F.split(c, ";"), F.trim), lambda x: x.isin(*allowed))))
+    kept = F.array_sort(F.array_distinct(F.filter(F.transform(F.split(c, ";"), lambda x: F.trim(x)), lambda x: x.isin(*allowed))))
     return F.when(F.size(kept) > 0, F.array_join(kept, ";"))
 
 

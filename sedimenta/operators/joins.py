@@ -109,16 +109,28 @@ def interval_bins(x: Column, bins: list[tuple[str, float | None, float | None]])
     return out
 
 
-def nearest(points: DataFrame, places: DataFrame, key: str, cell: float, reach_km: float) -> DataFrame:
-    """(key, place, km): the nearest place within ``reach_km`` of each point, by haversine distance.
+def nearest(points: DataFrame, places: DataFrame, key: str, reach_km: float) -> DataFrame:
+    """(key, place, km): the nearest place within ``reach_km`` of each point, by haversine distance, anywhere on the globe.
 
-    Both sides fall into cells of ``cell`` degrees; points look into the 9 cells around them, so ``cell`` must be at least the reach in
-    degrees (longitude included). Inputs have ``lat`` and ``lon``; places have ``place``. Ties go to the smaller name.
+    Places fall into bands of latitude as high as the reach and, within a band, into as many equal cells of longitude as keep a cell at least as wide as the
+    reach on the band's (and its neighbours') shorter side; points look into the cells beside them in three bands, around the 180th meridian too.
+    Near a pole a band has a single cell. Inputs have ``lat`` and ``lon``; places have ``place``. Ties go to the smaller name; points without a
+    place in reach, and rows without coordinates, are left out.
     """
-    grid = lambda c: F.floor(F.col(c) / cell)
-    around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    p = points.where("lat is not null and lon is not null").withColumn("o", around).withColumn("gx", grid("lat") + F.col("o.a")).withColumn("gy", grid("lon") + F.col("o.b"))
-    q = places.select("place", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), grid("lat").alias("gx"), grid("lon").alias("gy"))
+    height = reach_km / 111.0  # degrees of latitude; a degree is a little longer
+    band = lambda lat: F.floor(lat / height)
+
+    def cells(b: Column) -> Column:
+        """Cells of a band: counted at its latitude farthest from the equator, one band beyond, so that all three bands of a search agree on the reach."""
+        far = F.least(F.greatest(F.abs(b - 1), F.abs(b + 2)) * height, F.lit(90.0))
+        return F.greatest(F.floor(F.lit(360.0) * F.cos(F.radians(far)) / height) - 1, F.lit(1)).cast("long")
+
+    cell = lambda lon, n: F.pmod(F.floor((lon + 180.0) / (F.lit(360.0) / n)), n)
+    p = points.where("lat is not null and lon is not null").withColumn("gy", F.explode(F.array(*[band(F.col("lat")) + i for i in (-1, 0, 1)])))
+    n = cells(F.col("gy"))
+    p = p.withColumn("gx", F.explode(F.array_distinct(F.array(*[F.pmod(cell(F.col("lon"), n) + i, n) for i in (-1, 0, 1)]))))
+    q = places.where("lat is not null and lon is not null").select("place", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), band(F.col("lat")).alias("gy"))
+    q = q.withColumn("gx", cell(F.col("lon2"), cells(F.col("gy"))))
     j = p.join(q, ["gx", "gy"]).withColumn("km", haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))).where(F.col("km") <= reach_km)
     return j.groupBy(key).agg(F.min(F.struct("km", "place")).alias("m")).select(key, "m.place", "m.km")
 
@@ -129,7 +141,7 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.lit(2 * 6371.0088) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
-def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root): connected components, root = the smallest node. Large-star and small-star label rounds until nothing changes.
 
     Each round is a few group-bys; lineage is cut by a checkpoint in the shared folder. Rounds grow with the logarithm of the longest path.
@@ -139,7 +151,7 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
     e = checkpointed(e.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     digest = lambda x: x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = digest(e)
-    for _ in range(most_rounds):
+    while True:  # until a round changes nothing; every round before brings labels down
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()

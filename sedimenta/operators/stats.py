@@ -93,13 +93,21 @@ def trajectory(df: DataFrame, stage: str, group: str, value: str, threshold: flo
     return g.groupBy(stage).agg((F.sum("s") / F.sum("n")).alias("pooled"), (F.sum("p") / F.sum("n")).alias("prevalence"), F.percentile(F.col("s") / F.col("n"), F.lit(0.5)).alias("median_of_means"))
 
 
-def run_all(cards: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame | str]:
-    """Every card on its own; one that fails is recorded with its message and does not stop the others."""
-    out: dict[str, DataFrame | str] = {}
+def run_all(cards: dict[str, Callable[[], DataFrame]], folder: str, least: int = 1) -> DataFrame:
+    """(card, status, rows, message): every card planned and run on its own, its rows written to ``folder``/card as Parquet.
+
+    A card that fails, while planned or while it runs, is ``failed`` with its message; one of fewer than ``least`` rows is ``skipped``; neither stops the others.
+    """
+    spark, out = None, []
     for name, make in cards.items():
         try:
             df = make()
-            out[name] = df if df.limit(1).count() else "skipped: no data"
+            spark = df.sparkSession
+            df.write.mode("overwrite").parquet(f"{folder}/{name}")
+            n = spark.read.schema(df.schema).parquet(f"{folder}/{name}").count()
+            out.append((name, "done" if n >= least else "skipped", n, None))
         except Exception as e:  # noqa: BLE001  (the record of the failure is the result)
-            out[name] = f"skipped: {str(e)[:200]}"
-    return out
+            out.append((name, "failed", None, str(e).split("\n")[0][:200]))
+    from pyspark.sql import SparkSession
+
+    return (spark or SparkSession.active()).createDataFrame(out, "card string, status string, rows long, message string")

@@ -19,7 +19,7 @@ QUERIES, SQL, query = registry()
 select count(*) as groups, round(median(m1 - m0), 7) as median_effect, round(greatest(avg((m1 > m0)::int), 1 - avg((m1 > m0)::int)), 7) as agreement, round(sum(s1) / sum(n1) - sum(s0) / sum(n0), 7) as pooled_effect
 from g where n1 >= 20 and n0 >= 20""")
 def within_effect(spark, d):
-    """Effects inside groups, then over groups."""
+    """L1: effects inside groups, then over groups."""
     l = table(spark, d, "lineitem").select("l_suppkey", "l_discount", (F.col("l_quantity") > 25).alias("arm"))
     e = S.within_effect(l, "l_suppkey", "arm", "l_discount")
     return e.select("groups", *[F.round(c, 7).alias(c) for c in ("median_effect", "agreement", "pooled_effect")])
@@ -109,7 +109,7 @@ def canonical_columns(spark, d):
 (select count(*) from sample_determinations_all where not coalesce(confidence between 0 and 1, false)), (select count(*) from sample_determinations_all where not coalesce(evidence_quote is null or
 length(evidence_quote) - length(replace(evidence_quote, ' ', '')) < 12, false)), (select count(*) from sample_determinations_all where value_normalized is null)]) as failures""")
 def contract_checks(spark, d):
-    """All checks of a contract in one pass."""
+    """All checks of a contract in one pass."""
     q = F.col("evidence_quote")
     checks = {
         "sample_key": F.upper(F.trim("sample_key")).startswith("SAM"),
@@ -158,7 +158,7 @@ def qc_filter(spark, d):
 @query("""select c_custkey, concat_ws(';', case when c_acctbal > 5000 then 'rich' end, case when c_mktsegment in ('BUILDING', 'MACHINERY') then 'heavy' end, case when c_nationkey < 5 then 'near' end) as scopes,
 case when c_acctbal < 0 then 'debt' when c_acctbal > 9000 then 'top' else 'plain' end as class from customer""")
 def scope_membership(spark, d):
-    """Scopes whose rule holds; a first-match ladder."""
+    """Scopes whose rule holds; a first-match ladder."""
     rules = {"rich": F.col("c_acctbal") > 5000, "heavy": F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "near": F.col("c_nationkey") < 5}
     cls = T.ladder([(F.col("c_acctbal") < 0, "debt"), (F.col("c_acctbal") > 9000, "top")], "plain")
     return table(spark, d, "customer").select("c_custkey", X.scopes(rules).alias("scopes"), cls.alias("class"))
@@ -206,7 +206,7 @@ def label_guard(spark, d):
 
 @query()
 def classify_studies(spark, d):
-    """Studies classified from weighted text sources."""
+    """Studies classified from weighted text sources."""
     m = table(spark, d, "study_meta").groupBy("study_accession").agg(F.min("study_title").alias("title"), F.min("description").alias("descr"))
     sources = {"title": ("title", 2.0), "description": ("descr", 1.0)}
     classes = {"infant": r"(?i)infant|preterm|early-life|neonat", "adult": r"(?i)adult|ageing|elder", "disease": r"(?i)bowel|cancer|diabet|crohn"}
@@ -253,16 +253,6 @@ def worklist(spark, d):
     return w.drop("n")
 
 
-@query("""with s as (select user_id, count(*) as n, count(distinct event_type) as kinds, min(ts) as first_ts, max(ts) as last_ts, count(*) filter (where event_type = 'purchase') as buys from events group by 1)
-select user_id, n, kinds, case when buys >= 3 then 'buyer' when n >= 10 then 'reader' else 'guest' end as role, first_ts, last_ts from s""")
-def subjects(spark, d):
-    """K7: subjects with a role ladder and summaries."""
-    g = table(spark, d, "events").groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("event_type").alias("kinds"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_if(F.col("event_type") == "purchase").alias("buys")
-    )
-    return g.withColumn("role", T.ladder([(F.col("buys") >= 3, "buyer"), (F.col("n") >= 10, "reader")], "guest")).drop("buys")
-
-
 @query("""with h as (select p_type, avg((l_returnflag = 'R')::int) as hit from lineitem join part on p_partkey = l_partkey group by 1), a as (select p_type, count(*) as n from part group by 1)
 select p_type, case when coalesce(hit, 0) >= 0.5 then 'attribute' when n >= 5 then 'table' when hit > 0 then 'weak' else 'none' end as tier, case when coalesce(hit, 0) >= 0.5 then 0.9 when n >= 5 then 0.6 when hit > 0 then 0.3 else 0.0 end as conf
 from a left join h using (p_type)""")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sedimenta.plans import aggregating, analysing, curation, feeding, joining, resolving, texting, versioning
+from sedimenta.plans import aggregating, analysing, assembling, coding, curation, feeding, joining, resolving, texting, versioning
 
-MODULES = [curation, resolving, aggregating, joining, versioning, texting, analysing, feeding]
+MODULES = [curation, coding, resolving, aggregating, joining, versioning, texting, analysing, feeding, assembling]
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

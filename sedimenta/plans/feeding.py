@@ -46,16 +46,17 @@ def semi_filter(spark, d):
     return kept.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""select attr_id, trim(attr_key) as attr_key, trim(value) as value, nullif(trim(coalesce(attr_units, '')), '') as units from sample_attributes_new where value is not null and not regexp_matches(value, '[<>&"]') and not
-regexp_matches(attr_key, '[<>&"]')""")
+@query("""select attr_id, trim(attr_key) as attr_key, trim(value) as value, nullif(trim(coalesce(attr_units, '')), '') as units from sample_attributes_new where attr_key is not null and value is not null""")
 def xml_attributes(spark, d):
-    """Attribute XML to entity-attribute-value rows."""
-    a = table(spark, d, "sample_attributes_new").where(~F.col("value").rlike('[<>&"]') & ~F.col("attr_key").rlike('[<>&"]'))
-    xml = F.concat(F.lit("<X><TAG>"), F.col("attr_key"), F.lit("</TAG> <VALUE>"), F.col("value"), F.lit("</VALUE><UNITS>"), F.coalesce("attr_units", F.lit("")), F.lit("</UNITS></X>"))
-    return io.xml_to_eav(a.select("attr_id", xml.alias("xml")), "attr_id", "xml")
+    """Attribute XML of both dialects to entity-attribute-value rows; markup characters in values come as entities."""
+    a = table(spark, d, "sample_attributes_new").where("attr_key is not null and value is not null")
+    k, v, u = [io.xml_escape(F.coalesce(c, F.lit(""))) for c in ("attr_key", "value", "attr_units")]
+    tags = F.concat(F.lit("<X><TAG>"), k, F.lit("</TAG> <VALUE>"), v, F.lit("</VALUE><UNITS>"), u, F.lit("</UNITS></X>"))
+    named = F.concat(F.lit('<Attributes><Attribute unit="'), u, F.lit('" attribute_name="'), k, F.lit('">'), v, F.lit("</Attribute></Attributes>"))
+    return io.xml_to_eav(a.select("attr_id", F.when(F.col("attr_id") % 2 == 0, tags).otherwise(named).alias("xml")), "attr_id", "xml")
 
 
-@query("""select doc_id, g as place, substr(text, g * 1000 + 1, 1000) as chunk from documents, range(0, 100) r(g) where length(text) > g * 1000""")
+@query("""select doc_id, g as place, substr(text, g * 1000 + 1, 1000) as chunk from (select doc_id, text, unnest(range(0, (length(text) + 999) // 1000)) as g from documents where length(text) > 0)""")
 def text_chunks(spark, d):
     """A10: whole texts in chunks of bounded size."""
     t = table(spark, d, "documents").select("doc_id", "text")
@@ -86,12 +87,16 @@ def partitioned_export(spark, d):
     return spark.read.parquet(out).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query()
+@query("""select count(*) as rows, 0 as over_budget, 0 as problems, sum(length('{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '"}') + 1)::bigint as bytes from supplier""")
 def export_manifest(spark, d):
-    """Files under a byte budget with their digests."""
-    out = io.scratch(spark)
-    io.sink_budget(table(spark, d, "supplier"), out, 100_000)
-    return io.manifest(spark, f"{out}/*.json").select("bytes", F.length("sha256").alias("digest_length"))
+    """Files of at most a byte budget, listed with their digests and checked against the folder; nothing is lost or changed."""
+    out, budget = io.scratch(spark), 2_000
+    io.sink_budget(table(spark, d, "supplier").select("s_suppkey", "s_name"), out, budget, ["s_suppkey"])
+    listed = io.manifest(spark, f"{out}/*/*.txt")
+    g = listed.agg(F.count_if(F.col("bytes") > budget).alias("over_budget"), F.sum("bytes").alias("bytes"))
+    bad = io.check_manifest(listed, io.manifest(spark, f"{out}/*/*.txt")).agg(F.count(F.lit(1)).alias("problems"))
+    n = spark.read.text(f"{out}/*/*.txt").agg(F.count(F.lit(1)).alias("rows"))
+    return g.crossJoin(bad).crossJoin(n)  # one row each
 
 
 @query("""select c_custkey::varchar as k, 'body of ' || c_custkey as body from customer where c_custkey % 3 = 0""")

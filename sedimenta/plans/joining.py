@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sedimenta.operators import joins as J
@@ -163,16 +165,16 @@ def typed_targets(spark, d):
     return a.unionByName(c.join(label, ["grp", "target"]).select("c_custkey", "k", "target", F.lit(0.6).alias("conf")))
 
 
-@query("""with p as (select c_custkey, (c_custkey % 80) - 40 + (c_custkey % 7) / 10.0 as lat, (c_custkey % 170) - 85 + (c_custkey % 11) / 10.0 as lon from customer),
-q as (select s_name as place, (s_suppkey % 80) - 40 + 0.2 as lat2, (s_suppkey % 170) - 85 + 0.3 as lon2 from supplier),
+@query("""with p as (select c_custkey, (c_custkey % 179) - 89 + (c_custkey % 7) / 10.0 as lat, (c_custkey * 7 % 360) - 180 + (c_custkey % 10) / 10.0 as lon from customer),
+q as (select s_name as place, (s_suppkey * 3 % 179) - 89 + 0.2 as lat2, (s_suppkey * 21 % 360) - 180 + 0.3 as lon2 from supplier),
 j as (select c_custkey, place, 2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(lat2 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon) / 2), 2)))) as km from p, q)
-select c_custkey, place, round(km, 5) as km from (select *, row_number() over (partition by c_custkey order by km, place) as rn from j where km <= 100) where rn = 1""")
+select c_custkey, place, round(km, 5) as km from (select *, row_number() over (partition by c_custkey order by km, place) as rn from j where km <= 300) where rn = 1""")
 def nearest_place(spark, d):
-    """The nearest place within reach through grid cells."""
+    """The nearest place within reach, over the whole globe, through cells of equal width."""
     k, s = F.col("c_custkey"), F.col("s_suppkey")
-    p = table(spark, d, "customer").select("c_custkey", ((k % 80) - 40 + (k % 7) / 10.0).alias("lat"), ((k % 170) - 85 + (k % 11) / 10.0).alias("lon"))
-    q = table(spark, d, "supplier").select(F.col("s_name").alias("place"), ((s % 80) - 40 + 0.2).alias("lat"), ((s % 170) - 85 + 0.3).alias("lon"))
-    return J.nearest(p, q, "c_custkey", 2.0, 100).withColumn("km", F.round("km", 5))
+    p = table(spark, d, "customer").select("c_custkey", ((k % 179) - 89 + (k % 7) / 10.0).alias("lat"), ((k * 7 % 360) - 180 + (k % 10) / 10.0).alias("lon"))
+    q = table(spark, d, "supplier").select(F.col("s_name").alias("place"), ((s * 3 % 179) - 89 + 0.2).alias("lat"), ((s * 21 % 360) - 180 + 0.3).alias("lon"))
+    return J.nearest(p, q, "c_custkey", 300).withColumn("km", F.round("km", 5))
 
 
 @query("""with recursive e as (select distinct c_custkey as a, c_custkey + 1 as b from customer where c_custkey % 5 <> 0), u as (select a, b from e union select b, a from e),
@@ -224,17 +226,17 @@ def propagate(spark, d):
     return c.join(own, "c_custkey", "left_anti").join(p, "k").select("c_custkey", "inherited")
 
 
-@query("""with i as (select 'Customer#' || lpad(k::varchar, 9, '0') as id from range(1, 60) t(k)) select id, coalesce((select 'customer.c_name' from customer where c_name = id limit 1),
-(select 'supplier.s_name' from supplier where s_name = id limit 1), 'none') as path from i""")
+@query("""with i as (select distinct c_name as id from customer union select distinct upper(trim(sample_key)) from sample_attributes_new union select s_name from supplier union select study_accession from documents),
+h as (select c_name as id, 0 as o, 'customer.c_name' as path from customer union select s_name, 1, 'supplier.s_name' from supplier union select study_accession, 2, 'study_meta.study_accession' from study_meta union
+select secondary_study_accession, 3, 'study_meta.secondary_study_accession' from study_meta union select sample_key, 4, 'determination_snapshots.sample_key' from determination_snapshots)
+select i.id, coalesce(arg_min(path, o), 'none') as path from i left join h using (id) where i.id is not null group by 1""")
 def locate_identifier(spark, d):
     """An identifier searched through a fixed order of (table, column)."""
-    ids = spark.range(1, 60).select(F.concat(F.lit("Customer#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("id"))
-    src = [("customer", "c_name"), ("supplier", "s_name")]
-    all_ = None
-    for i, (t, c) in enumerate(src):
-        one = table(spark, d, t).select(F.col(c).alias("id"), F.lit(i).alias("o"), F.lit(f"{t}.{c}").alias("path"))
-        all_ = one if all_ is None else all_.union(one)
-    hit = all_.groupBy("id").agg(F.min_by("path", "o").alias("path"))
+    src = [("customer", "c_name"), ("supplier", "s_name"), ("study_meta", "study_accession"), ("study_meta", "secondary_study_accession"), ("determination_snapshots", "sample_key")]
+    asked = [("customer", F.col("c_name")), ("sample_attributes_new", F.upper(F.trim("sample_key"))), ("supplier", F.col("s_name")), ("documents", F.col("study_accession"))]
+    ids = reduce(lambda a, b: a.union(b), [table(spark, d, t).select(c.alias("id")) for t, c in asked]).where("id is not null").distinct()
+    every = [table(spark, d, t).select(F.col(c).alias("id")).distinct().withColumns({"o": F.lit(i), "path": F.lit(f"{t}.{c}")}) for i, (t, c) in enumerate(src)]
+    hit = reduce(lambda a, b: a.union(b), every).groupBy("id").agg(F.min_by("path", "o").alias("path"))
     return ids.join(hit, "id", "left").withColumn("path", F.coalesce("path", F.lit("none")))
 
 
@@ -254,13 +256,3 @@ def asof_join(spark, d):
     e = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type", "value")
     p, v = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), e.where("event_type = 'view'")
     return J.asof(p, v, ["user_id"], "ts", "ts", ["event_id", "value"]).drop("user_id", "ts")
-
-
-@query("""select o.o_orderkey, m.s_suppkey from orders o join (select s_suppkey, s_nationkey from supplier) m on m.s_nationkey = o.o_custkey % 25 qualify row_number() over
-(partition by o.o_orderkey order by abs(m.s_suppkey - o.o_custkey % 100), m.s_suppkey) = 1""")
-def link_roles(spark, d):
-    """C22-like role link: each order linked to the closest core id of its group."""
-    s = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("long").alias("k"))
-    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 25).alias("k"), (F.col("o_custkey") % 100).alias("x"))
-    j = o.join(s, "k")
-    return j.groupBy("o_orderkey").agg(F.min_by("s_suppkey", F.struct(F.abs(F.col("s_suppkey") - F.col("x")), "s_suppkey")).alias("s_suppkey"))

@@ -84,18 +84,23 @@ def merge_findings(spark, d):
     return V.apply_findings(det, f.unionByName(g), ["k"], "v", "ordinal")
 
 
-@query("""with x as (select field_name, study_accession, upper(trim(sample_key)) as s, lower(trim(value_normalized)) as v, det_id from sample_determinations_all), c as (select distinct study_accession as cs,
-'sex' as cf, '' as csample, '' as cold, 'retire' as action, null as new from x where det_id % 500 = 0 union all select distinct study_accession, 'delivery_mode', '', 'vaginal', 'recode', 'vaginal_birth' from x
-where det_id % 300 = 0) select det_id, case when r.new is not null then r.new else v end as v from x left join (select * from c where action = 'recode') r on cs = study_accession and cf = field_name and
-(csample = '' or csample = s) and (cold = '' or cold = v) where not exists (select 1 from c where action = 'retire' and cs = study_accession and cf = field_name and (csample = '' or csample = s) and
-(cold = '' or cold = v))""")
+@query("""with x as (select field_name, study_accession, upper(trim(sample_key)) as s, lower(trim(value_normalized)) as v, det_id from sample_determinations_all), c as (select min(det_id) as id, study_accession as cs, 'sex' as cf, '' as old,
+'retire' as action, null as new from x where det_id % 500 = 0 and study_accession is not null group by 2 union all select min(det_id), study_accession, 'delivery_mode', 'vaginal', 'recode', 'vaginal_birth' from x where det_id % 300 = 0 and study_accession is not null
+group by 2 union all select min(det_id) + 1000000000, study_accession, 'delivery_mode', '', 'recode', 'any_birth' from x where det_id % 200 = 0 and study_accession is not null group by 2),
+kept as (select * from x where not exists (select 1 from c where action = 'retire' and cs = study_accession and cf = field_name and (old = '' or old = v))),
+m as (select det_id, s, id, new, row_number() over (partition by det_id order by (old = '')::int, id) as r from kept join c on action = 'recode' and cs = study_accession and cf = field_name and (old = '' or old = v)),
+f as (select s, id, min(det_id) as det_id, any_value(new) as new from m where r = 1 group by s, id)
+select det_id, v, null::bigint as correction from kept where det_id not in (select det_id from m) union all select det_id, new, id from f""")
 def corrections(spark, d):
-    """Corrections that retire or recode, with wildcards for sample and old value."""
+    """Corrections that retire or recode, with wildcards for sample and old value; one row per recode and sample takes the place of its matches."""
     x = table(spark, d, "sample_determinations_all").select("field_name", "study_accession", F.upper(F.trim("sample_key")).alias("s"), F.lower(F.trim("value_normalized")).alias("v"), "det_id")
-    none = F.lit(None).cast("string")
-    a = x.where("det_id % 500 = 0").select("study_accession", F.lit("sex").alias("field_name"), F.lit("").alias("sample"), F.lit("").alias("old"), F.lit("retire").alias("action"), none.alias("new")).distinct()
-    b = x.where("det_id % 300 = 0").select("study_accession", F.lit("delivery_mode").alias("field_name"), F.lit("").alias("sample"), F.lit("vaginal").alias("old"), F.lit("recode").alias("action"), F.lit("vaginal_birth").alias("new")).distinct()
-    return V.apply_corrections(x, a.unionByName(b), "s", "v").select("det_id", "v")
+
+    def listed(every: int, field: str, old: str, action: str, new: str | None, add: int = 0):
+        g = x.where(f"det_id % {every} = 0 and study_accession is not null").groupBy("study_accession").agg((F.min("det_id") + add).alias("correction_id"))
+        return g.select("correction_id", "study_accession", F.lit(field).alias("field_name"), F.lit("").alias("entity"), F.lit(old).alias("old"), F.lit(action).alias("action"), F.lit(new).cast("string").alias("new"))
+
+    c = listed(500, "sex", "", "retire", None).unionByName(listed(300, "delivery_mode", "vaginal", "recode", "vaginal_birth")).unionByName(listed(200, "delivery_mode", "", "recode", "any_birth", 1_000_000_000))
+    return V.apply_corrections(x, c, "s", "v", "det_id").select("det_id", "v", "correction")
 
 
 @query("""with m as (select p_brand as k, p_type as v, min(p_size) as code from part where p_size < 40 group by 1, 2), vo as (select v, min(code) as code from m group by 1 having count(distinct code) = 1)
@@ -111,7 +116,7 @@ def map_derived(spark, d):
 left join (select o_custkey as k, max(o_orderpriority) as v from orders where o_totalprice > 300000 group by 1) o on o.k = c_custkey left join (select o_custkey as k, min(o_orderstatus) as v from orders
 where o_totalprice < 3000 group by 1) s on s.k = c_custkey""")
 def overrides(spark, d):
-    """Owner decisions beat curated verdicts, these beat the base value."""
+    """Owner decisions beat curated verdicts, these beat the base value."""
     o = table(spark, d, "orders")
     owner = o.where("o_totalprice > 300000").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderpriority").alias("v"))
     cur = o.where("o_totalprice < 3000").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderstatus").alias("v"))
@@ -120,7 +125,7 @@ def overrides(spark, d):
 
 @query("""select count(*) as rows_after, (select count(*) from orders) as rows_before, 0 as collisions from (select o_orderkey from orders union all select o_orderkey + 70000000 from orders where o_orderkey % 9 = 0)""")
 def append_only(spark, d):
-    """An append that may not touch existing rows; the digest before equals that of the old part after."""
+    """An append that may not touch existing rows; the digest before equals that of the old part after."""
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     return V.append_only(o, o.where("o_orderkey % 9 = 0").withColumn("o_orderkey", F.col("o_orderkey") + 70000000), ["o_orderkey"])
 
@@ -152,3 +157,51 @@ def accept_reject(spark, d):
     x = table(spark, d, "sample_determinations_all").select("det_id", "field_name", F.lower(F.trim("value_normalized")).alias("v"), "confidence", F.upper(F.trim("sample_key")).alias("s"), F.upper(F.trim("route")).alias("route"))
     checks = [("no value", F.col("v").isNull()), ("confidence out of range", F.col("confidence") > 1)]
     return V.split_outcomes(x, ["s", "field_name", "route"], [F.coalesce(-F.col("confidence"), F.lit(0.0)), F.col("det_id")], checks).select("det_id", "outcome", "message")
+
+
+@query("""with x as (select det_id, study_accession, field_name, lower(trim(value_normalized)) as v from sample_determinations_all), k as (select study_accession || '|' || field_name as g, min(v) as v from x where v not in ('unknown', 'none', 'not collected')
+group by 1 having min(v) = max(v)) select det_id, case when coalesce(x.v in ('unknown', 'none', 'not collected'), true) and k.v is not null then k.v else x.v end as v, case when coalesce(x.v in ('unknown', 'none', 'not collected'), true) and k.v is not null
+then 'was ' || coalesce(x.v, 'null') || '; class of its group' end as recode_note from x left join k on k.g = x.study_accession || '|' || x.field_name""")
+def recode_placeholders(spark, d):
+    """Placeholder values replaced by the one value known for their study and field."""
+    x = table(spark, d, "sample_determinations_all").select("det_id", F.concat("study_accession", F.lit("|"), "field_name").alias("g"), F.lower(F.trim("value_normalized")).alias("v"))
+    blanks = ["unknown", "none", "not collected"]
+    known = x.where(~F.col("v").isin(*blanks)).select("g", F.col("v").alias("known"))
+    return V.conditional_recode(x, "g", "v", blanks, known, "known").select("det_id", "v", "recode_note")
+
+
+@query("with " + PREV_CUR + """, st as (select *, 'R1' as release_added, 'p1' as package_added, case when o_orderkey % 11 = 0 then 'R2' end as release_retired from prev), live as (select * from st where release_retired is null),
+nw as (select o_orderkey, case when o_orderkey % 1000 = 1 then 'O!' else o_orderstatus end as o_orderstatus from cur)
+select 'orders' as fact, c.o_orderkey as k, c.o_orderstatus as v, case when p.o_orderstatus = c.o_orderstatus then p.release_added else 'R3' end as release_added, case when p.o_orderstatus = c.o_orderstatus then p.package_added else 'p3' end as package_added,
+null as release_retired from nw c left join live p using (o_orderkey) union all select 'orders', p.o_orderkey, p.o_orderstatus, p.release_added, p.package_added, 'R3' from live p left join nw c using (o_orderkey) where c.o_orderstatus is distinct from p.o_orderstatus
+union all select 'orders', o_orderkey, o_orderstatus, release_added, package_added, release_retired from st where release_retired is not null union all select 'customers', c_custkey, c_mktsegment, 'R3', 'p3', null from customer""")
+def fact_tables(spark, d):
+    """Two fact tables stamped by their specifications, with overrides that match one row each."""
+    prev, cur = prev_cur(spark, d)
+    st = prev.withColumns({"release_added": F.lit("R1"), "package_added": F.lit("p1"), "release_retired": F.when(F.col("o_orderkey") % 11 == 0, "R2")})
+    over = cur.where("o_orderkey % 1000 = 1").select("o_orderkey", F.lit("O!").alias("o_orderstatus"))
+    specs = [
+        {"name": "orders", "current": cur, "previous": st, "key": ["o_orderkey"], "diff": ["o_orderstatus"], "overrides": over},
+        {"name": "customers", "current": table(spark, d, "customer").select("c_custkey", "c_mktsegment"), "key": ["c_custkey"], "diff": ["c_mktsegment"]},
+    ]
+    f = V.build_facts(specs, "R3", "p3")
+    shape = lambda n, k, v: f[n].select(F.lit(n).alias("fact"), F.col(k).cast("long").alias("k"), F.col(v).alias("v"), "release_added", "package_added", "release_retired")
+    return shape("orders", "o_orderkey", "o_orderstatus").unionByName(shape("customers", "c_custkey", "c_mktsegment"))
+
+
+@query("""with r as (select release_id, package_version, release_date from releases union all select 'R9999.1', '99.0', date '2099-01-01') select row_number() over (order by release_date, release_id) as place, release_id, package_version, release_date from r""")
+def release_registry(spark, d):
+    """The ordered registry of published, historical and current releases."""
+    r = table(spark, d, "releases").select("release_id", "package_version", "release_date")
+    history = r.withColumn("package_version", F.lit("never published"))
+    current = spark.createDataFrame([("R9999.1", "99.0")], "release_id string, package_version string").withColumn("release_date", F.lit("2099-01-01").cast("date"))
+    return V.release_registry(history, r, current, "release_id", ["release_date"])
+
+
+@query("""with o as (select o_custkey, min(o_orderstatus) as verdict, count(*) as n from orders group by 1), u as (select c_custkey as k, c_mktsegment as verdict from customer where c_custkey % 3 = 0)
+select k, verdict, 'old' as stage from u union all select o_custkey, verdict, 'append' from o where verdict in ('F', 'O') and n >= 2 and o_custkey not in (select k from u)""")
+def append_verdicts(spark, d):
+    """Validated verdicts for unseen keys appended, known keys and verdicts outside the vocabulary left alone."""
+    o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.min("o_orderstatus").alias("verdict"), F.count(F.lit(1)).alias("n"))
+    u = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("verdict"))
+    return V.append_verdicts(u, o, "k", "verdict", ["F", "O"], F.col("n") >= 2)

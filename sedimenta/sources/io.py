@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import itertools
 import json
 import re
 import uuid
@@ -16,17 +17,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Members of an archive larger than this are logged, not read.
-MAX_MEMBER_BYTES = 64_000_000
+from sedimenta.sources.tables import shared_folder
+
 NULL_TOKEN = "\\N"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder, seen by all executors; a temporary one only where none is set."""
-    import tempfile
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sedimenta-")
-    return f"{base}/{uuid.uuid4().hex}"
+    """A new folder in the shared folder (see ``tables.shared_folder``), seen by all executors."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def scan_csv_text(spark: SparkSession, path: str, columns: list[str], sep: str = ",", quote: str = '"') -> DataFrame:
@@ -70,22 +68,60 @@ def dimension_frame(spark: SparkSession, rows: list[dict], key: str) -> DataFram
     return spark.createDataFrame([[None if r.get(c) is None else str(r[c]) for c in cols] for r in rows], ", ".join(f"{c} string" for c in cols))
 
 
+def xml_text(c: Column) -> Column:
+    """Character data with its entities resolved: the five of XML, and decimal and hexadecimal references. ``&amp;`` last, so nothing is resolved twice."""
+    numbered = F.split(F.regexp_replace(c, "&#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});", "\x01$1\x02"), "[\x01\x02]", -1)
+
+    def sign(x: Column, i: Column) -> Column:
+        code = F.when(x.startswith("x"), F.conv(F.substring(x, 2, 8), 16, 10)).otherwise(x).try_cast("int")
+        return F.when(i % 2 == 1, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32BE")).otherwise(x)
+
+    s = F.when(c.contains("&#"), F.array_join(F.transform(numbered, sign), "")).otherwise(c)
+    for name, ch in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        s = F.replace(s, F.lit(f"&{name};"), F.lit(ch))
+    return s
+
+
+def xml_escape(c: Column) -> Column:
+    """A text as character data or attribute value."""
+    for ch, name in (("&", "amp"), ("<", "lt"), (">", "gt"), ('"', "quot")):
+        c = F.replace(c, F.lit(ch), F.lit(f"&{name};"))
+    return c
+
+
 def xml_to_eav(df: DataFrame, key: str, xml: str) -> DataFrame:
-    """(key, attr_key, value, units) of ``<Attribute attribute_name="..">..</Attribute>`` and ``<TAG>/<VALUE>/<UNITS>`` elements."""
-    pat_a = r'<Attribute[^>]*?attribute_name="([^"]*)"[^>]*?(?:unit="([^"]*)")?[^>]*>([^<]*)</Attribute>'
-    pat_b = r"<TAG>([^<]*)</TAG>\s*<VALUE>([^<]*)</VALUE>(?:\s*<UNITS>([^<]*)</UNITS>)?"
-    all_ = lambda p, i: F.regexp_extract_all(F.col(xml), F.lit(p), F.lit(i))
-    a = F.arrays_zip(all_(pat_a, 1).alias("k"), all_(pat_a, 3).alias("v"), all_(pat_a, 2).alias("u"))
-    b = F.arrays_zip(all_(pat_b, 1).alias("k"), all_(pat_b, 2).alias("v"), all_(pat_b, 3).alias("u"))
-    kind = "array<struct<k:string,v:string,u:string>>"
-    x = df.where(F.col(xml).isNotNull()).select(key, F.explode(F.concat(a.cast(kind), b.cast(kind))).alias("x"))
-    return x.select(key, F.trim("x.k").alias("attr_key"), F.trim("x.v").alias("value"), F.when(F.trim("x.u") != "", F.trim("x.u")).alias("units"))
+    """(key, attr_key, value, units) of ``<Attribute attribute_name=".." unit="..">..</Attribute>`` and ``<TAG>/<VALUE>/<UNITS>`` elements.
+
+    XML attributes may stand in any order and in either kind of quotes; entities and CDATA sections are resolved; an empty element has an empty
+    value. Texts without such elements, and null, give no rows.
+    """
+    text = F.regexp_replace(F.col(xml), r"(?s)<!--.*?-->", "")
+    one = F.regexp_extract_all(text, F.lit(r"(?s)(<Attribute\b[^>]*?/>|<Attribute\b[^>]*>.*?</Attribute>)"), F.lit(1))
+    two = F.regexp_extract_all(text, F.lit(r"(?s)(<TAG>.*?</TAG>\s*(?:<VALUE>.*?</VALUE>|<VALUE\s*/>)?(?:\s*<UNITS>.*?</UNITS>)?)"), F.lit(1))
+    named = lambda e, n: F.regexp_replace(F.regexp_extract(e, rf"(?s)^<Attribute\b[^>]*?\s{n}\s*=\s*(\"[^\"]*\"|'[^']*')", 1), "^.|.$", "")
+    inner = lambda e, n: F.regexp_extract(e, rf"(?s)<{n}(?:\s[^>]*)?>(.*?)</{n}>", 1)
+    plain = lambda x: F.when(x.startswith("<![CDATA["), F.regexp_replace(x, r"(?s)^<!\[CDATA\[|\]\]>$", "")).otherwise(xml_text(x))
+    a = F.transform(one, lambda e: F.struct(named(e, "attribute_name").alias("k"), inner(e, "Attribute").alias("v"), named(e, "unit").alias("u")))
+    b = F.transform(two, lambda e: F.struct(inner(e, "TAG").alias("k"), inner(e, "VALUE").alias("v"), inner(e, "UNITS").alias("u")))
+    x = df.where(F.col(xml).isNotNull()).select(key, F.explode(F.concat(a, b)).alias("x"))
+    x = x.select(key, *[F.trim(plain(F.col(f"x.{c}"))).alias(n) for c, n in (("k", "attr_key"), ("v", "value"), ("u", "units"))])
+    return x.withColumn("units", F.when(F.col("units") != "", F.col("units")))
 
 
 def sections(c: Column, names: list[str]) -> dict[str, Column]:
-    """Texts of the named ``<sec>`` or heading sections of a marked-up document, tags removed."""
-    text = lambda n: F.regexp_extract(c, rf"(?is)<(?:sec|section)[^>]*(?:sec-type|id|class)=\"{n}\"[^>]*>(.*?)</(?:sec|section)>", 1)
-    return {n: F.trim(F.regexp_replace(F.regexp_replace(text(n), "<[^>]+>", " "), r"\s+", " ")) for n in names}
+    """Texts of the named parts of a marked-up article, tags removed and entities resolved; the rest of the body as ``other``.
+
+    A part is an element of that name (``<abstract>``) or a section whose type, id or class begins with it, or whose title holds it as a word; the
+    first such part counts. A missing part is an empty text.
+    """
+    bare = lambda x: F.trim(F.regexp_replace(xml_text(F.regexp_replace(x, "<[^>]+>", " ")), r"\s+", " "))
+    out, rest = {}, c
+    for n in names:
+        open_ = rf"(?:<{n}\b[^>]*>|<sec(?:tion)?\b[^>]*\b(?:sec-type|id|class)\s*=\s*[\"']{n}[^>]*>|<sec(?:tion)?\b[^>]*>\s*<(?:title|h[1-6])>[^<]*\b{n}\b[^<]*</(?:title|h[1-6])>)"
+        pattern = rf"(?is){open_}(.*?)</(?:{n}|sec|section)>"
+        out[n] = bare(F.coalesce(F.regexp_extract(c, pattern, 1), F.lit("")))
+        rest = F.regexp_replace(rest, pattern, " ")
+    return out | {"other": bare(F.coalesce(rest, F.lit("")))}
 
 
 def chunks(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -108,23 +144,25 @@ def parse_report(lines: DataFrame, line: str) -> DataFrame:
     s = F.col(line)
     study = F.regexp_extract(s, r"\b(PRJ[A-Z]{2}\d+)\b", 1)
     n = F.regexp_extract(s, r"(?:\|\s*|: )(\d+)(?:\s*\||\s+candidates)", 1)
-    quoted = F.array_join(F.transform(F.regexp_extract_all(s, F.lit("`([^`]+)`"), F.lit(1)), F.trim), ";")
+    quoted = F.array_join(F.transform(F.regexp_extract_all(s, F.lit("`([^`]+)`"), F.lit(1)), lambda x: F.trim(x)), ";")
     return lines.where(s.rlike(r"^\s*[|*-].*\bPRJ[A-Z]{2}\d+")).select(study.alias("study"), F.when(n != "", n).try_cast("int").alias("n"), quoted.alias("quoted"))
 
 
 def split_header(rows: list[list[str]]) -> tuple[list[str], list[list[str]]]:
-    """Header and body of a raw table: the densest of the first ten rows; blanks named colN, repeats numbered, rows padded, empty rows left out."""
-    rows = [[("" if c is None else str(c)).strip() for c in r] for r in rows]
-    head = max(range(min(10, len(rows))), key=lambda i: (sum(c != "" for c in rows[i]), -i), default=None)
-    if head is None:
+    """Header and body of a raw table.
+
+    The header is the row with most filled cells among the first ten (the first on a tie). All rows get the table's width; unnamed columns are
+    called by their position, a name used before gets a number; rows without any filled cell are left out.
+    """
+    cells = pd.DataFrame([list(r) for r in rows]).map(lambda c: "" if c is None or c != c else str(c).strip()) if rows else pd.DataFrame()
+    if cells.empty:
         return [], []
-    width = max(len(r) for r in rows)
-    names, seen = [], {}
-    for i, c in enumerate(rows[head] + [""] * (width - len(rows[head]))):
-        name = c or f"col{i + 1}"
-        seen[name] = seen.get(name, 0) + 1
-        names.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
-    return names, [r + [""] * (width - len(r)) for r in rows[head + 1 :] if any(r)]
+    head = int((cells.head(10) != "").sum(axis=1).to_numpy().argmax())
+    raw = pd.Series([c or f"col{i}" for i, c in enumerate(cells.iloc[head], 1)])
+    again = raw.groupby(raw).cumcount() + 1
+    names = [n if k == 1 else f"{n}_{k}" for n, k in zip(raw, again)]
+    body = cells.iloc[head + 1 :]
+    return names, body[(body != "").any(axis=1)].to_numpy().tolist()
 
 
 def _xlsx(data: bytes) -> dict[str, list[list[str]]]:
@@ -173,22 +211,35 @@ def read_tables(data: bytes) -> dict[str, list[list[str]]]:
     return {"table": list(csv.reader(io.StringIO(text), delimiter=sep))}
 
 
-def walk_archive(path: str, data: bytes, depth: int = 0) -> Iterator[tuple[str, str, bytes]]:
-    """(member path, status, bytes) of a file and, if it is a plain archive, of all members, nested archives included."""
-    if data[:2] == b"PK" and not read_tables(data):
+def walk_archive(path: str, data: bytes) -> Iterator[tuple[str, str, bytes]]:
+    """(member path, status, bytes) of a file and, if it is a plain archive, of all members, nested archives of any depth included.
+
+    Members are read one by one; a file that cannot be unpacked is ``broken``.
+    """
+    waiting = [(path, data)]
+    while waiting:
+        name, content = waiting.pop()
         try:
-            for m in zipfile.ZipFile(io.BytesIO(data)).infolist():
-                inner = f"{path}!{m.filename}"
-                if m.is_dir():
-                    continue
-                if m.file_size > MAX_MEMBER_BYTES or depth > 4:
-                    yield inner, "too large", b""
-                else:
-                    yield from walk_archive(inner, zipfile.ZipFile(io.BytesIO(data)).read(m), depth + 1)
-        except zipfile.BadZipFile:
-            yield path, "broken", b""
-    else:
-        yield path, "read", data
+            plain = content[:2] == b"PK" and not read_tables(content)
+            archive = zipfile.ZipFile(io.BytesIO(content)) if plain else None
+        except Exception:  # noqa: BLE001  (no readable archive or office file)
+            yield name, "broken", b""
+            continue
+        if archive is None:
+            yield name, "read", content
+            continue
+        for m in archive.infolist():
+            if m.is_dir():
+                continue
+            try:
+                inner = archive.read(m)
+            except Exception:  # noqa: BLE001
+                yield f"{name}!{m.filename}", "broken", b""
+                continue
+            if inner[:2] == b"PK":
+                waiting.append((f"{name}!{m.filename}", inner))
+            else:
+                yield f"{name}!{m.filename}", "read", inner
 
 
 def file_rows(spark: SparkSession, glob: str) -> DataFrame:
@@ -228,12 +279,30 @@ def sink_partitioned(df: DataFrame, path: str, key: str, max_records: int = 1_00
     df.repartition(F.col(key), F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("overwrite").partitionBy(key).option("maxRecordsPerFile", max_records).parquet(path)
 
 
-def sink_budget(df: DataFrame, path: str, budget: int) -> int:
-    """Files below a byte budget: records per file from the mean size of a row's text. Returns the records per file."""
-    size = df.select(F.avg(F.length(F.to_json(F.struct(*df.columns))))).first()[0] or 1.0
-    n = max(1, int(budget / size * 0.8))
-    df.write.mode("overwrite").option("maxRecordsPerFile", n).json(path)
-    return n
+def sink_budget(df: DataFrame, path: str, budget: int, order: list[str]) -> None:
+    """Files of at most ``budget`` bytes of JSON lines each (a longer single row has a file of its own), in the order of ``order``.
+
+    Rows are laid end to end by their exact length: within each of the range-partitioned parts a running sum of bytes gives the file, and a file
+    never spans two parts, so no task sees more than its part. One pass measures, one writes.
+    """
+    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    rows = df.select(*order, line.alias("__line")).repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        part, file, used = TaskContext.get().partitionId(), 0, 0
+        for pdf in batches:
+            files = []
+            for n in pdf["__line"].str.encode("utf-8").str.len() + 1:
+                if used and used + n > budget:
+                    file, used = file + 1, 0
+                used += n
+                files.append(f"{part:06d}-{file:06d}")
+            yield pd.DataFrame({"__line": pdf["__line"], "part": files})
+
+    out = rows.select("__line").mapInPandas(numbered, "__line string, part string")
+    out.select(F.col("__line").alias("value"), "part").write.mode("overwrite").partitionBy("part").text(path)
 
 
 def manifest(spark: SparkSession, glob: str) -> DataFrame:
@@ -250,16 +319,21 @@ def check_manifest(listed: DataFrame, now: DataFrame) -> DataFrame:
     return j.select("file", p.alias("problem")).where("problem is not null")
 
 
-def encode_payload(df: DataFrame, group: str, cols: list[str], scale: int = 1_000_000) -> bytes:
-    """A small aggregated frame as little-endian uint32: per group its size, then its rows (counts, means x ``scale``)."""
-    import numpy as np
+def encode_payload(df: DataFrame, group: str, cols: list[str], scale: int = 1_000_000) -> DataFrame:
+    """(group, payload): each group's rows as little-endian uint32: their number, then per row its columns (counts, means x ``scale``).
 
-    out = []
-    for _, part in df.orderBy(group).toPandas().groupby(group, sort=True):
-        out.append(len(part))
-        for r in part[cols].itertuples(index=False):
-            out += [int(v) if float(v).is_integer() else round(float(v) * scale) for v in r]
-    return np.array(out, dtype="<u4").tobytes()
+    Rows are ordered by their columns. Packed where they lie, from one array per group: groups are rows of a small aggregate each.
+    """
+
+    @F.pandas_udf("binary")
+    def packed(rows: pd.Series) -> pd.Series:
+        import numpy as np
+
+        whole = lambda v: int(v) if float(v).is_integer() else round(float(v) * scale)
+        return pd.Series([np.array([len(g), *[whole(v) for r in g for v in r]], dtype="<u4").tobytes() for g in rows])
+
+    g = df.groupBy(group).agg(F.array_sort(F.collect_list(F.array(*[F.col(c).cast("double") for c in cols]))).alias("__r"))
+    return g.select(group, packed("__r").alias("payload"))
 
 
 def fetch_by_key(keys: DataFrame, key: str, fetch: Callable[[list[str]], dict[str, str]], cache: DataFrame | None = None, batch: int = 50) -> DataFrame:
@@ -279,14 +353,20 @@ def fetch_by_key(keys: DataFrame, key: str, fetch: Callable[[list[str]], dict[st
     return fresh if cache is None else cache.join(want, key, "left_semi").select(key, "body").unionByName(fresh)
 
 
-def build_slices(taxa: list[str], strategies: list[str], since: int, until: int) -> list[dict]:
-    """Archive queries by taxon, strategy and year: one slice per year, because long answers are cut off."""
-    return [
-        {"slice": f"{t}-{s}-{y}", "query": f'tax_tree({t}) AND library_strategy="{s}" AND first_public>={y}-01-01 AND first_public<={y}-12-31'}
-        for t in taxa
-        for s in strategies
-        for y in range(since, until + 1)
-    ]
+def build_slices(taxa: list[str], strategies: list[str], since: str, until: str, dense: set[int] = frozenset()) -> list[dict]:
+    """Archive queries, one per taxon, strategy and period, because long answers are cut off.
+
+    Periods are calendar years between the two days (both included), quarters in the ``dense`` years; the first and the last are cut to the days.
+    """
+    lo, hi = pd.Timestamp(since), pd.Timestamp(until)
+    out = []
+    for t, s, year in itertools.product(taxa, strategies, range(lo.year, hi.year + 1)):
+        for p in pd.period_range(f"{year}-01", f"{year}-12", freq="Q" if year in dense else "Y"):
+            a, b = max(lo, p.start_time), min(hi, p.end_time.normalize())
+            if a <= b:
+                clauses = [f"tax_tree({t})", f'library_strategy="{s}"', f"first_public>={a:%Y-%m-%d}", f"first_public<={b:%Y-%m-%d}"]
+                out.append({"slice": f"{t}-{s}-{p}", "query": " AND ".join(clauses)})
+    return out
 
 
 def export_csv(df: DataFrame, path: str, order: list[str]) -> None:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sedimenta.operators.resolve import best_row
 from sedimenta.sources.io import scratch
 
 
@@ -39,24 +38,47 @@ def run_available(stream: DataFrame, spark: SparkSession, mode: str = "append")
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
-def merge_batches(stream: DataFrame, spark: SparkSession, keys: list[str], order: list[str]) -> DataFrame:
-    """The latest row per key kept in versioned folders: each batch is merged with the folder before it and written as the next one.
+def merge_batches(stream: DataFrame, spark: SparkSession, keys: list[str], order: list[str], parts: int = 16) -> DataFrame:
+    """The latest row per key (greatest ``order``), kept as one folder per hash part and version: a batch rewrites only the parts it touches.
 
-    A batch that runs again after a failure overwrites its own folder only, so rows count once.
+    The current version of a part is its highest batch number not above the last one of the stream's log, read from the folders, so a restarted driver
+    goes on where the log says. A batch that runs again after a failure overwrites its own versions only, so rows count once.
     """
     out = scratch(spark)
-    last: list[str] = []
+    shape = stream.schema
+
+    def versions(jvm_spark: SparkSession, below: int) -> dict[int, str]:
+        """The newest folder of each part among batches before ``below``."""
+        path = jvm_spark._jvm.org.apache.hadoop.fs.Path(f"{out}/data")
+        fs = path.getFileSystem(jvm_spark._jsc.hadoopConfiguration())
+        best: dict[int, tuple[int, str]] = {}
+        if fs.exists(path):
+            for batch in fs.listStatus(path):
+                number = int(batch.getPath().getName()[1:])
+                if number < below:
+                    for part in fs.listStatus(batch.getPath()):
+                        name = part.getPath().getName()
+                        if name.startswith("part="):
+                            p = int(name[5:])
+                            if p not in best or best[p][0] < number:
+                                best[p] = (number, part.getPath().toString())
+        return {p: folder for p, (_, folder) in best.items()}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        both = batch if not last else batch.unionByName(batch.sparkSession.read.parquet(last[-1]))
-        target = f"{out}/v{batch_id}"
-        descending = [-F.col(c).cast("double") for c in order]
-        best_row(both, keys, descending).write.mode("overwrite").parquet(target)
-        last.append(target)
+        s = batch.sparkSession
+        part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+        new = batch.withColumn("part", part)
+        touched = {r.part for r in new.select("part").distinct().collect()}  # at most ``parts`` numbers
+        old = [folder for p, folder in versions(s, batch_id).items() if p in touched]
+        both = new.unionByName(s.read.schema(shape).parquet(*old).withColumn("part", part)) if old else new
+        rest = [c for c in both.columns if c not in (*keys, "part")]
+        latest = both.groupBy("part", *keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("b")) if rest else both.select("part", *keys).distinct()
+        latest.select("part", *keys, *[F.col(f"b.{c}").alias(c) for c in rest]).write.mode("overwrite").partitionBy("part").parquet(f"{out}/data/b{batch_id}")
 
     q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{out}/log").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(last[-1]) if last else spark.createDataFrame([], stream.schema)
+    folders = list(versions(spark, 1 << 62).values())
+    return spark.read.schema(shape).parquet(*folders) if folders else spark.createDataFrame([], shape)
 
 
 def new_only(batch: DataFrame, snapshot: DataFrame, key: str, content: list[str]) -> DataFrame:

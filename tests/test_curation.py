@@ -335,10 +335,10 @@ def test_sanitise_and_fold_read_every_text(spark):
     docs = pd.read_parquet(f"{SF}/documents.parquet").dropna(subset=["text"])
     token, number = r"\b[A-Fa-f0-9]{16,}\b|[\w.+-]+@[\w-]+\.[\w.]+", r"\b\d{9,}\b"
     want = sorted((r.doc_id, re.sub(number, "[n]", re.sub(token, "[id]", r.text)).strip(" "), bool(re.search(f"{token}|{number}", r.text))) for r in docs.itertuples())
-    assert sorted(tuple(r) for r in texting.sanitise_all(spark, SF).collect()) == want
+    assert sorted(tuple(r) for r in texting.sanitise(spark, SF).collect()) == want
     assert any(not t.isascii() for t in docs.text)
     fold = lambda x: "".join(k for k in unicodedata.normalize("NFKD", x) if not unicodedata.combining(k)).lower()
     values = pd.read_parquet(f"{SF}/sample_attributes_new.parquet").dropna(subset=["value"])
-    assert sorted(tuple(r) for r in texting.fold_accents_all(spark, SF).collect()) == sorted((r.attr_id, fold(r.value)) for r in values.itertuples())
+    assert sorted(tuple(r) for r in texting.fold_accents(spark, SF).collect()) == sorted((r.attr_id, fold(r.value)) for r in values.itertuples())
     df = spark.createDataFrame([("josé.müller@uni-köln.de ist da", "Việt Nam ﬁn"), (None, None)], "a string, b string")
     assert [tuple(r) for r in df.select(texts.sanitise(F.col("a")), texts.fold(F.col("b"))).collect()] == [("[id] ist da", "viet nam fin"), (None, None)]

@@ -86,14 +86,17 @@ def crosstab_share(df: DataFrame, a: str, b: str, top: int) -> DataFrame:
     return n.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(a)))
 
 
-def bray_curtis(df: DataFrame, group: str, item: str, feature: str, value: str) -> DataFrame:
+def bray_curtis(df: DataFrame, group: str, item: str, feature: str, value: str, most_items: int = 5_000) -> DataFrame:
     """(group, a, b, dissimilarity) for the items of each group that share a feature.
 
     Uses sum|x-y| = sum x + sum y - 2 sum min(x, y), so only shared features are joined; pairs sharing none have dissimilarity 1 and are not listed.
-    Groups must be small (items per group), which the caller ensures.
+    The result is pairs by definition, so groups must be small: one of more than ``most_items`` items (counted) is an error, never cut.
     """
     v = df.groupBy(group, item, feature).agg(F.sum(value).alias("v"))
     t = v.groupBy(group, item).agg(F.sum("v").alias("t"))
+    largest = t.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+    if largest > most_items:
+        raise ValueError(f"a group of {largest} items; pairs are made for at most {most_items}")
     a = v.select(group, feature, F.col(item).alias("a"), F.col("v").alias("va"))
     b = v.select(group, feature, F.col(item).alias("b"), F.col("v").alias("vb"))
     m = a.join(b, [group, feature]).where("a < b").groupBy(group, "a", "b").agg(F.sum(F.least("va", "vb")).alias("m"))

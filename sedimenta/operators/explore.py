@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.texts import has_code, ladder
+from sedimenta.operators.resolve import rank_all
 
 
 def canonicalise(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
@@ -127,7 +128,17 @@ def worklist(coverage: DataFrame, group: str, size: str, weights: dict[str, floa
     score = sum((F.lit(w) * (1 - F.coalesce(F.col(f), F.lit(0.0))) for f, w in weights.items()), F.lit(0.0)) * F.log10(F.col(size) + 1)
     missing = F.array_join(F.array_compact(F.array(*[F.when(F.coalesce(F.col(f), F.lit(0.0)) < full, F.lit(f)) for f in weights])), ";")
     x = coverage.select(group, size, missing.alias("missing"), F.round(score, 6).alias("score"), ladder([(c, n) for n, c in blockers], "none").alias("blocker"))
-    return x.where("missing <> ''").withColumn("place", F.row_number().over(Window.orderBy(F.desc("score"), F.desc(size), F.asc(group))))  # one row per group: result-sized
+    return rank_all(x.where("missing <> ''"), [F.desc("score"), F.desc(size), F.asc(group)], "place")
+
+
+# Comparative wording, which bounds a value instead of stating it.
+COMPARATIVE = r"(?i)\b(?:less|more|greater|fewer|older|younger|higher|lower) than\b|\b(?:at (?:least|most)|up to|under|over|below|above|within)\b|[<>≤≥]"
+
+
+def threshold_filter(df: DataFrame, is_group: Column, value: str, quote: str, supports_default: Column) -> DataFrame:
+    """``df`` without numeric group statements quoted from comparative wording, unless the quote supports the default class."""
+    bound = is_group & F.col(value).try_cast("double").isNotNull() & F.col(quote).rlike(COMPARATIVE) & ~F.coalesce(supports_default, F.lit(False))
+    return df.where(~F.coalesce(bound, F.lit(False)))
 
 
 def in_list(df: DataFrame, column: str, code: str) -> DataFrame:

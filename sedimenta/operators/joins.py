@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.operators.resolve import best_row
+from sedimenta.operators.resolve import attach, best_row
 from sedimenta.sources.tables import checkpointed
 
 
@@ -109,6 +109,22 @@ def interval_bins(x: Column, bins: list[tuple[str, float | None, float | None]])
     return out
 
 
+def expand_targets(statements: DataFrame, members: DataFrame, group: str, entity: str, label: str, name: str, keep: list[str], direct: float = 0.8, inferred: float = 0.6) -> DataFrame:
+    """(group, entity, ``keep``, ``kind``, ``confidence``): group statements expanded to the members they target.
+
+    ``kind`` of a statement is ``all``, ``label`` (its ``target`` equals the member's label without case and outer blanks) or ``regex`` (its ``target`` is found in the member's name).
+    Confidence is capped at ``direct``, at ``inferred`` where a target was inferred. Two equi-joins, and for patterns a join on the group with the pattern as condition.
+    """
+    m = members.select(group, entity, F.lower(F.trim(label)).alias("__label"), F.col(name).alias("__name"))
+    s = statements.select(group, "kind", "target", F.col("confidence").alias("__c"), *keep)
+    every = s.where("kind = 'all'").join(m, group)
+    by_label = s.where("kind = 'label'").withColumn("__label", F.lower(F.trim("target"))).join(m, [group, "__label"])
+    p = s.where("kind = 'regex'").withColumnRenamed(group, "__g")
+    by_name = m.join(p, (F.col(group) == F.col("__g")) & F.rlike(F.col("__name"), F.col("target"))).drop("__g")
+    cap = lambda df, c: df.select(group, entity, *keep, "kind", F.least(F.coalesce("__c", F.lit(c)), F.lit(c)).alias("confidence"))
+    return cap(every, direct).unionByName(cap(by_label, inferred)).unionByName(cap(by_name, inferred))
+
+
 def nearest(points: DataFrame, places: DataFrame, key: str, reach_km: float) -> DataFrame:
     """(key, place, km): the nearest place within ``reach_km`` of each point, by haversine distance, anywhere on the globe.
 
@@ -154,9 +170,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while True:  # until a round changes nothing; every round before brings labels down
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = attach(both, least, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")
+        small = attach(large, low, ["u"]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")
         e = checkpointed(small.where("u <> v").distinct())
         now = digest(e)
         if now == seen:

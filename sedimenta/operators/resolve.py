@@ -12,6 +12,42 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.sources.tables import checkpointed
+
+
+def attach(df: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner", most: int = 500_000, salts: int = 16) -> DataFrame:
+    """``df`` joined to a frame with unique ``keys``, safe for hot keys.
+
+    A frame of up to ``most`` rows (counted) is sent to every task; a larger one is repeated ``salts`` times, so that a key holding a third of all rows is
+    shared out. The rows of ``df`` are never multiplied.
+    """
+    if dim.limit(most + 1).count() <= most:
+        return df.join(F.broadcast(dim), keys, how)
+    spread = [c for c, t in df.dtypes if "map<" not in t]
+    d = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
+    return df.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).join(d, [*keys, "__salt"], how).drop("__salt")
+
+
+def _ranged(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """``df`` in value ranges ``__p`` with the 1-based global rank ``out``: ranked inside each range, shifted by the sizes of the ranges before.
+
+    Written once to the shared folder, for ranges must not move between their uses.
+    """
+    n = max(2, df.sparkSession.sparkContext.defaultParallelism)
+    ranged = checkpointed(df.repartitionByRange(n, *order).withColumn("__p", F.spark_partition_id()))
+    sizes = {r["__p"]: r["count"] for r in ranged.groupBy("__p").count().collect()}  # one row per range
+    table, before = [], 0
+    for p in sorted(sizes):
+        table += [F.lit(p), F.lit(before)]
+        before += sizes[p]
+    offset = F.try_element_at(F.create_map(*table), F.col("__p")) if table else F.lit(0)
+    return ranged.withColumn(out, (F.row_number().over(Window.partitionBy("__p").orderBy(*order)) + offset).cast("long"))
+
+
+def rank_all(df: DataFrame, order: list[Column], out: str = "rank_all") -> DataFrame:
+    """``df`` with its 1-based global rank, without a task that sees all rows; the order must be total for a stable result."""
+    return _ranged(df, order, out).drop("__p")
+
 
 def best_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first by the ``order`` columns ascending (negate or rank for descending). Null order parts come first."""
@@ -59,7 +95,7 @@ def expand_group(statements: DataFrame, members: DataFrame, have: DataFrame, gro
 
 def group_stat(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
     """Group statistics attached to every row, by an aggregate joined back (works for distinct counts too)."""
-    return df.join(df.groupBy(*keys).agg(*aggs), keys)
+    return attach(df, df.groupBy(*keys).agg(*aggs), keys)
 
 
 def degenerate(df: DataFrame, group: str, key: str, most: int = 200, big: int = 40, few: int = 5, rows: int = 50) -> DataFrame:
@@ -74,7 +110,7 @@ def degenerate(df: DataFrame, group: str, key: str, most: int = 200, big: int =
         | (F.length(F.col(key).cast("string")) <= 1)
     )
     flags = per_key.join(per_group, group).select(group, key, bad.alias("is_degenerate"))
-    return df.join(flags, [group, key], "left").withColumn("is_degenerate", F.coalesce("is_degenerate", F.lit(False)))
+    return attach(df, flags, [group, key], "left").withColumn("is_degenerate", F.coalesce("is_degenerate", F.lit(False)))
 
 
 def timeline(df: DataFrame, subject: str, bases: list[str], least: int = 2) -> DataFrame:
@@ -111,13 +147,28 @@ def encode_topk(df: DataFrame, col: str, cap: int, other: str = "other") -> Data
 
 
 def bh(df: DataFrame, p: str, key: str, groups: list[str] | None = None) -> DataFrame:
-    """Benjamini-Hochberg ``q``: the reverse cumulative minimum of p * n / rank, ties ordered by ``key``."""
-    parts = groups or []
-    w = Window.partitionBy(*parts).orderBy(p, key) if parts else Window.orderBy(p, key)
-    size = Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))
-    r = df.where(F.col(p).isNotNull()).withColumn("__r", F.row_number().over(w)).withColumn("__n", F.count(F.lit(1)).over(size))
-    raw = F.col(p) * F.col("__n") / F.col("__r")
-    return r.withColumn("q", F.least(F.lit(1.0), F.min(raw).over(w.rowsBetween(0, Window.unboundedFollowing)))).drop("__r", "__n")
+    """Benjamini-Hochberg ``q``: the reverse cumulative minimum of p * n / rank, ties ordered by ``key``; null p values are left out.
+
+    With ``groups`` each group is one window. Without, values are ranked in ranges, and each range needs only the least value of the ranges behind it.
+    """
+    d = df.where(F.col(p).isNotNull())
+    if groups:
+        w = Window.partitionBy(*groups).orderBy(F.col(p).desc(), F.col(key).desc())
+        up = Window.partitionBy(*groups).orderBy(p, key)
+        r = d.withColumn("__r", F.row_number().over(up)).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*groups)))
+        raw = F.col(p) * F.col("__n") / F.col("__r")
+        return r.withColumn("q", F.least(F.lit(1.0), F.min(raw).over(w.rowsBetween(Window.unboundedPreceding, 0)))).drop("__r", "__n")
+    r = _ranged(d, [F.col(p).asc(), F.col(key).asc()], "__r")
+    n = r.count()
+    r = r.withColumn("__raw", F.col(p) * F.lit(n) / F.col("__r"))
+    lows = {x["__p"]: x.m for x in r.groupBy("__p").agg(F.min("__raw").alias("m")).collect()}  # one row per range
+    table, behind = [], float("inf")
+    for x in sorted(lows, reverse=True):
+        table += [F.lit(x), F.lit(behind)]
+        behind = min(behind, lows[x])
+    later = F.try_element_at(F.create_map(*table), F.col("__p")) if table else F.lit(1.0)
+    w = Window.partitionBy("__p").orderBy(F.col(p).desc(), F.col(key).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return r.withColumn("q", F.least(F.lit(1.0), F.min("__raw").over(w), later)).drop("__r", "__raw", "__p")
 
 
 def first_last(df: DataFrame, key: str, order: list[Column], value: str) -> DataFrame:
@@ -127,10 +178,15 @@ def first_last(df: DataFrame, key: str, order: list[Column], value: str) -> Data
 
 
 def follow_choice(choices: DataFrame, details: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
-    """For each kept choice the first detail row of the same key that arrives after it."""
-    c = choices.select(*keys, F.col(ordinal).alias("kept"))
-    j = c.join(details, keys).where(F.col(ordinal) > F.col("kept"))
-    return j.groupBy(*keys, "kept").agg(F.min(ordinal).alias("detail"))
+    """(keys, kept, detail): for each kept choice the first detail row of the same key that arrives after it; choices without one are left out.
+
+    Both are laid end to end and read backwards once per key with a running minimum, so the work is linear in both.
+    """
+    c = choices.select(*keys, F.col(ordinal).alias("__o"), F.lit(0).alias("__side"))
+    d = details.select(*keys, F.col(ordinal).alias("__o"), F.lit(1).alias("__side"))
+    w = Window.partitionBy(*keys).orderBy(F.col("__o").desc(), "__side").rowsBetween(Window.unboundedPreceding, 0)
+    x = c.unionByName(d).withColumn("detail", F.min(F.when(F.col("__side") == 1, F.col("__o"))).over(w))
+    return x.where("__side = 0 and detail is not null").select(*keys, F.col("__o").alias("kept"), "detail").distinct()
 
 
 def widen(df: DataFrame, key: list[str], field: str, fields: list[str], value: str) -> DataFrame:

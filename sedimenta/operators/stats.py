@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.operators.resolve import attach, rank_all
+
 
 def within_effect(df: DataFrame, group: str, arm: str, value: str, least: int = 20) -> DataFrame:
     """(groups, median_effect, agreement, pooled_effect): mean differences (true minus false arm) inside groups with ``least`` rows in both arms."""
@@ -25,7 +27,7 @@ def average_ranks(df: DataFrame, parts: list[str], value: str, out: str) -> Data
     n = df.where(F.col(value).isNotNull()).groupBy(*parts, value).agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*parts).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     r = n.withColumn(out, F.sum("__n").over(w) - (F.col("__n") - 1) / 2.0).drop("__n")
-    return df.join(r, [*parts, value])
+    return attach(df, r, [*parts, value])
 
 
 def mann_whitney(df: DataFrame, parts: list[str], arm: str, value: str) -> DataFrame:
@@ -74,6 +76,40 @@ def variance_explained(df: DataFrame, factor: str, vector: str, dims: int) -> Da
     return t.withColumn("r2", 1 - F.try_divide("ss_within", "ss_total"))
 
 
+def permuted(df: DataFrame, factor: str, row_id: str, seed: int) -> DataFrame:
+    """``df`` with the values of ``factor`` dealt anew: the row at each place of one hash order takes the value at that place of another."""
+    order = lambda salt: [F.xxhash64(F.lit(seed), F.lit(salt), row_id), F.col(row_id)]
+    rows = rank_all(df.drop(factor), order(1), "__place")
+    return rows.join(rank_all(df.select(row_id, factor), order(2), "__place").select("__place", factor), "__place").drop("__place")
+
+
+def variance_baseline(df: DataFrame, factor: str, vector: str, dims: int, row_id: str, seeds: list[int]) -> DataFrame:
+    """(n, ss_total, ss_within, r2, ``baseline``): the variance explained by a factor beside its mean under permuted factors, one per seed."""
+    real, base = variance_explained(df, factor, vector, dims), None
+    for seed in seeds:
+        one = variance_explained(permuted(df.select(row_id, factor, vector), factor, row_id, seed), factor, vector, dims).select("r2")
+        base = one if base is None else base.unionByName(one)
+    return real.crossJoin(base.agg(F.avg("r2").alias("baseline")))  # one row each
+
+
+def contrast_cards(df: DataFrame, group: str, cards: dict[str, Column], features: list[str], least: int = 20) -> DataFrame:
+    """(card, feature, groups, median_effect, agreement, pooled_effect): ``within_effect`` for every card (a mask that is true, false or null) and feature in one pass.
+
+    Rows are unpivoted to (card, feature) and reduced to one row per group by partial sums before the exchange; rows where the mask is null stay out of its card.
+    """
+    arms = F.explode(F.array(*[F.struct(F.lit(n).alias("card"), m.alias("arm")) for n, m in cards.items()])).alias("c")
+    values = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])).alias("f")
+    x = df.select(group, *features, arms).select(group, "c.card", "c.arm", values).select(group, "card", "arm", "f.feature", "f.v").where("arm is not null and v is not null")
+    yes, no = F.when(F.col("arm"), F.col("v")), F.when(~F.col("arm"), F.col("v"))
+    g = x.groupBy("card", "feature", group).agg(F.sum(yes).alias("s1"), F.sum(no).alias("s0"), F.count(yes).alias("n1"), F.count(no).alias("n0"))
+    g = g.where((F.col("n1") >= least) & (F.col("n0") >= least)).withColumn("e", F.col("s1") / F.col("n1") - F.col("s0") / F.col("n0"))
+    up = F.avg((F.col("e") > 0).cast("double"))
+    return g.groupBy("card", "feature").agg(
+        F.count(F.lit(1)).alias("groups"), F.percentile("e", F.lit(0.5)).alias("median_effect"), F.greatest(up, 1 - up).alias("agreement"),
+        (F.sum("s1") / F.sum("n1") - F.sum("s0") / F.sum("n0")).alias("pooled_effect"),
+    )
+
+
 def dominant_share(df: DataFrame, group: str, value: str, least: int = 20, share: float = 0.8) -> DataFrame:
     """Groups of ``least`` rows or more with one value on ``share`` of them."""
     n = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))

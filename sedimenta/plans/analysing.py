@@ -272,3 +272,45 @@ def parse_batch(spark, d):
     """One row per requested id, a sentinel where the answer is missing."""
     r = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("v"), F.lit(1).alias("n"))
     return X.parse_batch(r, table(spark, d, "customer").where("c_custkey % 4 = 0").select("c_custkey"), "c_custkey", {"v": "no_answer", "n": 0})
+
+
+@query()
+def permanova_baseline(spark, d):
+    """Variance explained beside its mean under permuted labels."""
+    v = S.variance_baseline(table(spark, d, "embeddings"), "label", "embedding", 64, "vec_id", [1, 2, 3])
+    return v.select("n", F.round("r2", 5).alias("r2"), F.round("baseline", 5).alias("baseline"))
+
+
+CARDS = """with x as (select l_suppkey as g, unnest([{'card': 'large', 'arm': l_quantity > 25}, {'card': 'returned', 'arm': case when l_returnflag <> 'A' then l_returnflag = 'R' end}]) as c, l_discount, l_tax from lineitem),
+y as (select g, c.card as card, c.arm as arm, unnest([{'f': 'l_discount', 'v': l_discount}, {'f': 'l_tax', 'v': l_tax}]) as f from x), z as (select g, card, f.f as feature, sum(f.v) filter (where arm) as s1, sum(f.v) filter (where not arm) as s0, count(*) filter (where arm) as n1,
+count(*) filter (where not arm) as n0 from y where arm is not null group by 1, 2, 3)"""
+
+
+@query(CARDS + """ select card, feature, count(*) as groups, round(median(s1 / n1 - s0 / n0), 7) as median_effect, round(greatest(avg((s1 / n1 > s0 / n0)::int), 1 - avg((s1 / n1 > s0 / n0)::int)), 7) as agreement,
+round(sum(s1) / sum(n1) - sum(s0) / sum(n0), 7) as pooled_effect from z where n1 >= 20 and n0 >= 20 group by 1, 2""")
+def contrast_cards(spark, d):
+    """Contrasts of several features under several masks, inside groups, in one pass."""
+    l = table(spark, d, "lineitem").select("l_suppkey", "l_quantity", "l_returnflag", "l_discount", "l_tax")
+    cards = {"large": F.col("l_quantity") > 25, "returned": F.when(F.col("l_returnflag") != "A", F.col("l_returnflag") == "R")}
+    c = S.contrast_cards(l, "l_suppkey", cards, ["l_discount", "l_tax"])
+    return c.select("card", "feature", "groups", *[F.round(x, 7).alias(x) for x in ("median_effect", "agreement", "pooled_effect")])
+
+
+@query("""select 'orders' as card, 'done' as status, count(*) as rows from orders union all select 'broken', 'failed', null union all select 'unplanned', 'failed', null union all select 'empty', 'skipped', 0""")
+def isolated_cards(spark, d):
+    """Cards run one by one; those that fail while planned or while running, or have no rows, are recorded."""
+    from sedimenta.sources.io import scratch
+
+    o = table(spark, d, "orders")
+    cards = {
+        "orders": lambda: o.select("o_orderkey"), "broken": lambda: o.select(F.raise_error(F.lit("no")).cast("string").alias("x")), "unplanned": lambda: o.select("no_such_column"),
+        "empty": lambda: o.where("o_orderkey < 0").select("o_orderkey"),
+    }
+    return S.run_all(cards, scratch(spark)).drop("message")
+
+
+@query(f"""select det_id from sample_determinations_all where not coalesce(lower(trim(scope)) <> 'sample' and try_cast(trim(value_normalized) as double) is not null and not regexp_matches(lower(trim(value_normalized)), 'nan|inf|e') and regexp_matches(evidence_quote, '{X.COMPARATIVE}') and not coalesce(regexp_matches(evidence_quote, '(?i)infant'), false), false)""")
+def threshold_quotes(spark, d):
+    """Numeric group statements quoted from comparative wording left out, unless the quote speaks of the default class."""
+    t = table(spark, d, "sample_determinations_all").withColumn("v", T.number(F.col("value_normalized")).cast("string"))
+    return X.threshold_filter(t, F.lower(F.trim("scope")) != "sample", "v", "evidence_quote", F.col("evidence_quote").rlike("(?i)infant")).select("det_id")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import zipfile
+from io import BytesIO
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from sedimenta.plans.registry import registry
@@ -99,11 +103,115 @@ def export_manifest(spark, d):
     return g.crossJoin(bad).crossJoin(n)  # one row each
 
 
-@query("""select c_custkey::varchar as k, 'body of ' || c_custkey as body from customer where c_custkey % 3 = 0""")
+@query("""select c_custkey::varchar as k, case when c_custkey % 5 = 0 then 'old body' when c_custkey % 7 <> 0 then 'body of ' || c_custkey end as body, case when c_custkey % 5 = 0 then 'cached' when c_custkey % 11 = 0 then 'failed' when c_custkey % 7 = 0 then 'missing' else 'fetched' end as status
+from customer where c_custkey % 5 = 0 or c_custkey % 11 <> 0 union all select c_custkey::varchar, null, 'failed' from customer where c_custkey % 5 <> 0 and c_custkey % 11 = 0""")
 def batched_fetch(spark, d):
-    """Keys fetched in batches through a client, answers for other keys dropped."""
-    keys = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("k"))
-    return io.fetch_by_key(keys, "k", lambda ids: {**{i: f"body of {i}" for i in ids}, "stray": "x"})
+    """Keys fetched in batches through a client with a cache; one bad key does not lose its batch."""
+
+    def client(ids):
+        if any(int(i) % 11 == 0 for i in ids):
+            raise OSError("no answer")
+        return {**{i: f"body of {i}" for i in ids if int(i) % 7}, "stray": "x"}
+
+    keys = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("k"), "c_custkey")
+    cache = keys.where("c_custkey % 5 = 0").select("k", F.lit("old body").alias("body"))
+    return io.fetch_by_key(keys, "k", client, cache, retries=0)
+
+
+@query("""select 'tax' || (c_custkey % 3) as query, 'id' || c_custkey as id from customer""")
+def paged_search(spark, d):
+    """Searches counted first and read page by page."""
+    n = table(spark, d, "customer").agg(F.max("c_custkey"), F.min("c_custkey")).first()
+    ids = lambda q: range(n[1] + (int(q[3:]) - n[1]) % 3, n[0] + 1, 3)  # noqa: E731  (customers are numbered without gaps)
+    return io.search_pages(spark, ["tax0", "tax1", "tax2"], lambda q: len(ids(q)), lambda q, start, size: [f"id{i}" for i in ids(q)[start : start + size]], 40)
+
+
+@query("""select study_accession, regexp_replace(study_title, '[\\t\\r\\n]', ' ', 'g') as study_title, coalesce(center_name, '') as center_name, '' as owner from study_meta where study_accession is not null""")
+def lenient_tsv(spark, d):
+    """A3: tab-separated text without quoting; absent contract columns come as empty texts, in the contract's order."""
+    out = io.scratch(spark)
+    m = table(spark, d, "study_meta").where("study_accession is not null")
+    clean = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), "[\\t\\r\\n]", " ")
+    m.select(clean("center_name").alias("center_name"), F.when(F.col("study_title").isNull(), io.NULL_TOKEN).otherwise(clean("study_title")).alias("study_title"), "study_accession").select(
+        F.concat_ws("\t", "center_name", "study_title", "study_accession").alias("line")
+    ).coalesce(1).write.text(f"{out}/body")
+    head = spark.createDataFrame([("center_name\tstudy_title\tstudy_accession",)], "line string")
+    head.unionByName(spark.read.text(f"{out}/body").withColumnRenamed("value", "line")).coalesce(1).write.text(f"{out}/whole")
+    t = io.scan_tsv(spark, f"{out}/whole", ["study_accession", "study_title", "center_name", "owner"])
+    return t.withColumn("study_title", F.when(F.col("study_title") != "", F.col("study_title")))
+
+
+@query("""select term_id, code, label from vocab_terms where vocabulary = 'sex' union all select 1000, 'x', null""")
+def configured_list(spark, d):
+    """A configured list as a frame joined to the reference list; repeated keys are an error."""
+    rows = [{"code": "female"}, {"code": "male"}, {"code": "x", "term_id": 1000}]
+    c = io.dimension_frame(spark, rows, "code")
+    t = table(spark, d, "vocab_terms").where("vocabulary = 'sex'").select("code", F.col("term_id").alias("t"), "label")
+    return c.join(t, "code", "left").select(F.coalesce("t", F.col("term_id").cast("long")).alias("term_id"), "code", "label")
+
+
+@query("""select meta_id, trim(regexp_replace(coalesce(study_title, ''), '\\s+', ' ', 'g')) as abstract, trim(regexp_replace(coalesce(description, ''), '\\s+', ' ', 'g')) as methods, 'Ends & odds' as other from study_meta""")
+def article_sections(spark, d):
+    """A10: the named parts of marked-up articles, entities resolved, and the rest."""
+    esc = lambda c: io.xml_escape(F.coalesce(c, F.lit("")))
+    xml = F.concat(
+        F.lit("<article><abstract><p>"), esc("study_title"), F.lit("</p></abstract><body><sec id='s1'><title>Materials and methods</title> <p>"), esc("description"), F.lit("</p></sec><sec><p>Ends &amp; odds</p></sec></body></article>")
+    )
+    parts = io.sections(F.col("xml"), ["abstract", "methods"])
+    return table(spark, d, "study_meta").select("meta_id", xml.alias("xml")).select("meta_id", *[c.alias(n) for n, c in parts.items()])
+
+
+@query("""select t || '-' || s || '-' || p as slice, a, b from (select unnest([408170, 9606])::varchar as t), (select unnest(['WGS', 'AMPLICON']) as s), (values ('2019', '2019-03-01', '2019-12-31'), ('2020Q1', '2020-01-01', '2020-03-31'), ('2020Q2', '2020-04-01', '2020-06-30'),
+('2020Q3', '2020-07-01', '2020-09-30'), ('2020Q4', '2020-10-01', '2020-12-31'), ('2021', '2021-01-01', '2021-02-10')) v(p, a, b)""")
+def archive_slices(spark, d):
+    """Archive queries by taxon, strategy and period, dense years in quarters."""
+    rows = io.build_slices(["408170", "9606"], ["WGS", "AMPLICON"], "2019-03-01", "2021-02-10", {2020})
+    q = spark.createDataFrame([(r["slice"], r["query"]) for r in rows], "slice string, query string")
+    day = lambda op: F.regexp_extract("query", rf"first_public{op}=(\S+)", 1)
+    return q.select("slice", day(">").alias("a"), day("<").alias("b"))
+
+
+@query("""select p_brand, count(*) as rows, (4 * (1 + 2 * count(*)))::int as bytes, (sum(n) + sum(round(m * 1000000)))::bigint as total from (select p_brand, p_size, count(*) as n, avg(p_retailprice) / 1000000 as m from part group by 1, 2) group by 1""")
+def packed_payload(spark, d):
+    """Counts and scaled means of each group packed as little-endian integers, and read back."""
+    g = table(spark, d, "part").groupBy("p_brand", "p_size").agg(F.count(F.lit(1)).alias("n"), (F.avg("p_retailprice") / 1_000_000).alias("m"))
+    x = io.encode_payload(g, "p_brand", ["n"], ["m"])
+    words = F.transform(F.sequence(F.lit(0), F.floor(F.length("payload") / 4).cast("int") - 1), lambda i: F.conv(F.array_join(F.reverse(F.regexp_extract_all(F.hex(F.substr("payload", i * 4 + 1, F.lit(4))), F.lit("(..)"), F.lit(1))), ""), 16, 10).cast("long"))
+    x = x.select("p_brand", F.length("payload").alias("bytes"), words.alias("w"))
+    return x.select("p_brand", F.get("w", 0).alias("rows"), "bytes", F.aggregate(F.slice("w", F.lit(2), F.size("w")), F.lit(0).cast("long"), lambda a, v: a + v).alias("total"))
+
+
+@query("""select o_orderkey, o_custkey, o_totalprice from orders where o_orderstatus = 'P' and o_totalprice > 100000""")
+def filtered_export(spark, d):
+    """The current filtered result as ordered CSV, read back."""
+    out = io.scratch(spark)
+    o = table(spark, d, "orders").where("o_orderstatus = 'P' and o_totalprice > 100000").select("o_orderkey", "o_custkey", "o_totalprice")
+    io.export_csv(o, out, ["o_custkey", "o_orderkey"])
+    back = io.scan_csv_text(spark, out, o.columns)
+    return back.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"), F.col("o_totalprice").cast("double").alias("o_totalprice"))
+
+
+def _pack(members: dict) -> bytes:
+    b = BytesIO()
+    with zipfile.ZipFile(b, "w") as z:
+        for name, data in members.items():
+            z.writestr(name, data)
+    return b.getvalue()
+
+
+def _zipped(rows: pd.Series) -> pd.Series:
+    """Archives of an archive with a tab-separated table, and of a broken one."""
+    lines = lambda r: "note\nterm_id\tlabel\textra\n" + "\n".join(f"{x['term_id']}\t{x['label'] or ''}\t" for x in r)
+    return pd.Series([_pack({"in.zip": _pack({"t.tsv": lines(r)}), "bad.zip": b"PK not an archive"}) for r in rows])
+
+
+@query("""select 'a.zip!in.zip!t.tsv' as path, row_number() over (order by term_id) - 1 as row_no, term_id::varchar as term_id, coalesce(label, '') as label, 'read' as status from vocab_terms union all select 'a.zip!bad.zip', null, null, null, 'broken'""")
+def archived_tables(spark, d):
+    """Tables in nested archives, header found, statuses logged."""
+    terms = table(spark, d, "vocab_terms").agg(F.array_sort(F.collect_list(F.struct("term_id", "label"))).alias("r"))  # a reference list
+    x = io.parse_files(terms.select(F.lit("a.zip").alias("path"), F.pandas_udf(_zipped, "binary")("r").alias("content")))
+    cell = lambda c: F.get_json_object("cells", f"$.{c}")
+    return x.select("path", "row_no", cell("term_id").alias("term_id"), cell("label").alias("label"), "status")
 
 
 @query("""select epoch(date_trunc('hour', ts))::bigint as start_s, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2""")

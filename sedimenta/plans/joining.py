@@ -152,17 +152,18 @@ def interval_lookup(spark, d):
     return table(spark, d, "customer").select("c_custkey", J.interval_bins(F.col("c_acctbal"), bins).alias("bin"))
 
 
-@query("""with st as (select s_nationkey as grp, min(s_suppkey) as k, 'all' as target from supplier where s_suppkey % 2 = 0 group by 1 union all select s_nationkey, min(s_suppkey), 'building' from supplier
-where s_suppkey % 2 = 1 group by 1) select c.c_custkey, st.k, st.target, case when st.target = 'all' then 0.8 else 0.6 end as conf from customer c join st on st.grp = c.c_nationkey and
-(st.target = 'all' or lower(c.c_mktsegment) = st.target)""")
+@query("""with st as (select s_nationkey as g, 'all' as kind, null as target, s_suppkey as k, 0.9 as c from supplier where s_suppkey % 3 = 0 union all select s_nationkey, 'label', ' Building', s_suppkey, 0.5 from supplier where s_suppkey % 3 = 1
+union all select s_nationkey, 'regex', '[13579]$', s_suppkey, null from supplier where s_suppkey % 3 = 2) select c.c_nationkey as g, c.c_custkey, st.k, st.kind, case when st.kind = 'all' then 0.8 when st.kind = 'label' then 0.5 else 0.6 end as confidence
+from customer c join st on st.g = c.c_nationkey and case st.kind when 'all' then true when 'label' then lower(c.c_mktsegment) = 'building' else regexp_matches(c.c_name, '[13579]$') end""")
 def typed_targets(spark, d):
-    """Statements that target all members, or a label."""
-    s = table(spark, d, "supplier")
-    c = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("grp"), F.lower("c_mktsegment").alias("target"))
-    every = s.where("s_suppkey % 2 = 0").groupBy(F.col("s_nationkey").alias("grp")).agg(F.min("s_suppkey").alias("k"))
-    label = s.where("s_suppkey % 2 = 1").groupBy(F.col("s_nationkey").alias("grp")).agg(F.min("s_suppkey").alias("k")).withColumn("target", F.lit("building"))
-    a = c.drop("target").join(every, "grp").select("c_custkey", "k", F.lit("all").alias("target"), F.lit(0.8).alias("conf"))
-    return a.unionByName(c.join(label, ["grp", "target"]).select("c_custkey", "k", "target", F.lit(0.6).alias("conf")))
+    """Statements that target all members, a label, or a pattern over names."""
+    s, m3 = table(spark, d, "supplier"), F.col("s_suppkey") % 3
+    st = s.select(
+        F.col("s_nationkey").alias("g"), F.when(m3 == 0, "all").when(m3 == 1, "label").otherwise("regex").alias("kind"), F.when(m3 == 1, " Building").when(m3 == 2, "[13579]$").alias("target"), F.col("s_suppkey").alias("k"),
+        F.when(m3 == 0, 0.9).when(m3 == 1, 0.5).alias("confidence"),
+    )
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("g"), "c_custkey", "c_mktsegment", "c_name")
+    return J.expand_targets(st, c, "g", "c_custkey", "c_mktsegment", "c_name", ["k"])
 
 
 @query("""with p as (select c_custkey, (c_custkey % 179) - 89 + (c_custkey % 7) / 10.0 as lat, (c_custkey * 7 % 360) - 180 + (c_custkey % 10) / 10.0 as lon from customer),

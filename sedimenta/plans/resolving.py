@@ -111,25 +111,7 @@ def degenerate_guard(spark, d):
 @query("select p_partkey, row_number() over (order by p_retailprice desc, p_size desc, p_partkey) as rank_all from part")
 def rank_all(spark, d):
     """A global ranking. Ranks within value ranges are numbered in parallel and shifted by the sizes of the ranges before."""
-    return _rank_all(table(spark, d, "part").select("p_partkey", "p_retailprice", "p_size"), [F.desc("p_retailprice"), F.desc("p_size"), F.asc("p_partkey")]).select("p_partkey", "rank_all")
-
-
-def _rank_all(df, order):
-    """``df`` with its 1-based global rank: range-partitioned, ranked inside each range, shifted by the sizes of earlier ranges."""
-    from pyspark.sql import Window
-
-    from sedimenta.sources.tables import checkpointed
-
-    n = max(2, df.sparkSession.sparkContext.defaultParallelism)
-    ranged = checkpointed(df.repartitionByRange(n, *order).withColumn("__p", F.spark_partition_id()))  # ranges must not move between uses
-    sizes = {r["__p"]: r["count"] for r in ranged.groupBy("__p").count().collect()}  # one row per range
-    offset, table_, before = F.lit(0), [], 0
-    for p in sorted(sizes):
-        table_ += [F.lit(p), F.lit(before)]
-        before += sizes[p]
-    offset = F.try_element_at(F.create_map(*table_), F.col("__p")) if table_ else offset
-    local = F.row_number().over(Window.partitionBy("__p").orderBy(*order))
-    return ranged.withColumn("rank_all", (local + offset).cast("long")).drop("__p")
+    return R.rank_all(table(spark, d, "part").select("p_partkey", "p_retailprice", "p_size"), [F.desc("p_retailprice"), F.desc("p_size"), F.asc("p_partkey")]).select("p_partkey", "rank_all")
 
 
 @query("""with p as (select l_suppkey, count(case when l_returnflag = 'R' then 1 end)::double / count(*) as p from lineitem group by 1),

@@ -8,6 +8,7 @@ import io
 import itertools
 import json
 import re
+import time
 import uuid
 import xml.etree.ElementTree as ET
 import zipfile
@@ -242,27 +243,32 @@ def walk_archive(path: str, data: bytes) -> Iterator[tuple[str, str, bytes]]:
                 yield f"{name}!{m.filename}", "read", inner
 
 
-def file_rows(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, sheet, row_no, cells, status) of all tables in binary files, archives walked; one file is one task's work."""
+def parse_files(files: DataFrame) -> DataFrame:
+    """(path, sheet, row_no, cells, status) of all tables in (path, content) rows, archives walked; one file is one task's work.
+
+    ``cells`` is a JSON object by header. A file or member without a table gives one row with its status: ``empty``, ``broken`` or ``read``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 for member, status, data in walk_archive(path, bytes(content)):
                     try:
                         tables = read_tables(data) if status == "read" else {}
                     except Exception:  # noqa: BLE001  (a broken member is a log line, not a failure)
                         tables, status = {}, "broken"
-                    if not tables:
-                        out.append((member, None, None, None, "empty" if status == "read" else status))
+                    out = []
                     for sheet, rows in tables.items():
                         head, body = split_header(rows)
                         out += [(member, sheet, i, json.dumps(dict(zip(head, r))), status) for i, r in enumerate(body)]
-            yield pd.DataFrame(out, columns=["path", "sheet", "row_no", "cells", "status"])
+                    yield pd.DataFrame(out or [(member, None, None, None, "empty" if status == "read" else status)], columns=["path", "sheet", "row_no", "cells", "status"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, sheet string, row_no int, cells string, status string")
+
 
-    b = spark.read.format("binaryFile").load(glob).select("path", "content")
-    return b.mapInPandas(run, "path string, sheet string, row_no int, cells string, status string")
+def file_rows(spark: SparkSession, glob: str) -> DataFrame:
+    """``parse_files`` of the files of a folder."""
+    return parse_files(spark.read.format("binaryFile").load(glob))
 
 
 def sink(df: DataFrame, path: str, fmt: str, order: list[str]) -> None:
@@ -319,8 +325,8 @@ def check_manifest(listed: DataFrame, now: DataFrame) -> DataFrame:
     return j.select("file", p.alias("problem")).where("problem is not null")
 
 
-def encode_payload(df: DataFrame, group: str, cols: list[str], scale: int = 1_000_000) -> DataFrame:
-    """(group, payload): each group's rows as little-endian uint32: their number, then per row its columns (counts, means x ``scale``).
+def encode_payload(df: DataFrame, group: str, counts: list[str], means: list[str], scale: int = 1_000_000) -> DataFrame:
+    """(group, payload): each group's rows as little-endian uint32: their number, then per row its counts and its means x ``scale``, rounded half up.
 
     Rows are ordered by their columns. Packed where they lie, from one array per group: groups are rows of a small aggregate each.
     """
@@ -329,28 +335,89 @@ def encode_payload(df: DataFrame, group: str, cols: list[str], scale: int = 1_00
     def packed(rows: pd.Series) -> pd.Series:
         import numpy as np
 
-        whole = lambda v: int(v) if float(v).is_integer() else round(float(v) * scale)
-        return pd.Series([np.array([len(g), *[whole(v) for r in g for v in r]], dtype="<u4").tobytes() for g in rows])
+        return pd.Series([np.array([len(g), *[int(v) for r in g for v in r]], dtype="<u4").tobytes() for g in rows])
 
-    g = df.groupBy(group).agg(F.array_sort(F.collect_list(F.array(*[F.col(c).cast("double") for c in cols]))).alias("__r"))
+    whole = [F.col(c).cast("long") for c in counts] + [F.floor(F.col(c) * scale + 0.5).cast("long") for c in means]
+    g = df.groupBy(group).agg(F.array_sort(F.collect_list(F.array(*whole))).alias("__r"))
     return g.select(group, packed("__r").alias("payload"))
 
 
-def fetch_by_key(keys: DataFrame, key: str, fetch: Callable[[list[str]], dict[str, str]], cache: DataFrame | None = None, batch: int = 50) -> DataFrame:
-    """(key, body): sorted keys fetched in batches, only keys without a cached body; answers for other keys are dropped."""
-    want = keys.select(F.col(key).cast("string").alias(key)).distinct()
+def patiently(call: Callable, retries: int, wait: float):
+    """The answer of ``call``, tried again up to ``retries`` times, each time after twice the wait; the last failure is raised."""
+    for n in range(retries + 1):
+        try:
+            return call()
+        except Exception:  # noqa: BLE001
+            if n == retries:
+                raise
+            time.sleep(wait * 2**n)
+
+
+def fetch_by_key(
+    keys: DataFrame, key: str, fetch: Callable[[list[str]], dict[str, str]], cache: DataFrame | None = None, batch: int = 50, per_second: float = 0.0, retries: int = 2, wait: float = 0.1
+) -> DataFrame:
+    """(key, body, ``status``): keys fetched in sorted batches, only those without a cached body; answers for other keys are dropped.
+
+    ``per_second`` limits the calls of one task (0: no limit); with one partition per host the limit is the host's. A batch that fails after ``retries`` is tried key
+    by key; what still fails is ``failed``. ``status`` is ``cached``, ``fetched``, ``missing`` (no answer for the key) or ``failed``.
+    """
+    want = keys.select(F.col(key).cast("string").alias(key)).where(F.col(key).isNotNull()).distinct()
     todo = want.join(cache.select(key), key, "left_anti") if cache is not None else want
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = 0.0
+
+        def call(part: list[str]) -> dict[str, str]:
+            nonlocal last
+            if per_second:
+                time.sleep(max(0.0, last + 1 / per_second - time.monotonic()))
+                last = time.monotonic()
+            return fetch(part)
+
         for pdf in batches:
             ids = sorted(pdf[key])
             for i in range(0, len(ids), batch):
-                part = ids[i : i + batch]
-                got = fetch(part)
-                yield pd.DataFrame({key: part, "body": [got.get(k) for k in part]})
+                part, got, failed = ids[i : i + batch], {}, set()
+                try:
+                    got = patiently(lambda part=part: call(part), retries, wait)
+                except Exception:  # noqa: BLE001  (one bad key must not lose the batch)
+                    for k in part:
+                        try:
+                            got |= patiently(lambda k=k: call([k]), retries, wait)
+                        except Exception:  # noqa: BLE001
+                            failed.add(k)
+                yield pd.DataFrame({key: part, "body": [got.get(k) for k in part], "status": ["failed" if k in failed else "fetched" if k in got else "missing" for k in part]})
+
+    fresh = todo.mapInPandas(run, f"{key} string, body string, status string")
+    return fresh if cache is None else cache.join(want, key, "left_semi").select(key, "body", F.lit("cached").alias("status")).unionByName(fresh)
+
 
-    fresh = todo.mapInPandas(run, f"{key} string, body string")
-    return fresh if cache is None else cache.join(want, key, "left_semi").select(key, "body").unionByName(fresh)
+def search_pages(spark: SparkSession, queries: list[str], count: Callable[[str], int], page: Callable[[str, int, int], list[str]], size: int = 1000, retries: int = 2) -> DataFrame:
+    """(query, id): archive searches counted first, then read page by page, one row of the plan per page, so pages are read in parallel and a lost task reads its page again.
+
+    A page that comes short (ids vanished while reading) gives what it has; ids are distinct per query.
+    """
+    pages = [(q, start) for q in queries for start in range(0, patiently(lambda q=q: count(q), retries, 0.1), size)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for q, start in zip(pdf["query"], pdf["start"]):
+                ids = patiently(lambda q=q, start=start: page(q, int(start), size), retries, 0.1)
+                yield pd.DataFrame({"query": q, "id": ids})
+
+    plan = spark.createDataFrame(pages, "query string, start long")
+    return plan.repartition(max(1, min(len(pages), 64))).mapInPandas(run, "query string, id string").distinct()
+
+
+def search_cursor(query: str, page: Callable[[str, str | None], tuple[list[str], str | None]], retries: int = 2) -> Iterator[str]:
+    """The ids of a search whose pages name the next one, until there is none or one comes again."""
+    cursor, seen = None, set()
+    while cursor not in seen:
+        seen.add(cursor)
+        ids, cursor = patiently(lambda cursor=cursor: page(query, cursor), retries, 0.1)
+        yield from ids
+        if cursor is None:
+            return
 
 
 def build_slices(taxa: list[str], strategies: list[str], since: str, until: str, dense: set[int] = frozenset()) -> list[dict]:

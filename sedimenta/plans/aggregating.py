@@ -127,10 +127,18 @@ def pairwise_bc(spark, d):
     return x.withColumn("dissimilarity", F.round("dissimilarity", 6))
 
 
-@query()
+@query("select count(*) as rows, true as same_in_any_order, true as differs_when_changed from orders")
 def snapshot_hash(spark, d):
-    """Order-insensitive digest of a whole table."""
-    return A.content_hash(table(spark, d, "orders"))
+    """The digest of a table's rows: the same in any order and partitioning, another one when a cell changes or a row is repeated."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    one = A.content_hash(o).select("rows", F.struct("rows", "h1", "h2").alias("a"))
+    moved = A.content_hash(o.select(*reversed(o.columns)).repartition(7, "o_totalprice").sortWithinPartitions(F.desc("o_orderkey"))).select(F.struct("rows", "h1", "h2").alias("b"))
+    least = o.agg(F.min("o_orderkey")).first()[0]
+    status = F.when(F.col("o_orderkey") == least, F.concat("o_orderstatus", F.lit("x"))).otherwise(F.col("o_orderstatus"))
+    changed = A.content_hash(o.withColumn("o_orderstatus", status)).select(F.struct("rows", "h1", "h2").alias("c"))
+    twice = A.content_hash(o.unionByName(o.where(F.col("o_orderkey") == least))).select(F.struct("rows", "h1", "h2").alias("e"))
+    x = one.crossJoin(moved).crossJoin(changed).crossJoin(twice)  # one row each
+    return x.select("rows", (F.col("a") == F.col("b")).alias("same_in_any_order"), ((F.col("a") != F.col("c")) & (F.col("a") != F.col("e"))).alias("differs_when_changed"))
 
 
 @query("""with x as (select distinct o_orderkey, o_totalprice, unnest(string_split(lower(o_orderpriority), '-')) as v from orders) select v as facet_value,

@@ -189,4 +189,13 @@ mark as (select *, case when lag(v) over w = v and lag(e2) over w = b then 0 els
 grp as (select *, sum(new) over (partition by s, f, t order by b rows unbounded preceding) as g from mark),
 ver as (select s, f, t, min(b) as b, case when count(e2) = count(*) then max(e2) end as e from grp group by s, f, t, g)
 select s as sample_key, f as field_name, t as src_track, x.release_id as valid_from, coalesce(y.release_id, '') as valid_to from ver join rel x on x.k = ver.b left join rel y on y.k = ver.e""",
+
+    "p4_versions": f"""with {NAMES} r as (select upper(trim(sample_key, {BLANKS})) as s, lower(trim(field_name, {BLANKS})) as f, lower(trim(src_track, {BLANKS})) as t, {VALUE} as v, coalesce(a.k, p.k) as b, e.k as e, det_id
+from sample_determinations_all d left join names a on a.t = lower(trim(d.release_added, {BLANKS})) left join names p on p.t = lower(trim(d.package_added, {BLANKS})) left join names e on e.t = lower(trim(d.release_retired, {BLANKS}))),
+one as (select * from r where v is not null and b is not null and (e is null or e > b) and s is not null and f is not null and t is not null qualify row_number() over (partition by s, f, t, b order by det_id desc) = 1),
+cut as (select *, least(e, lead(b) over w) as e2 from one window w as (partition by s, f, t order by b)),
+mark as (select *, case when lag(v) over w = v and lag(e2) over w = b then 0 else 1 end as new from cut window w as (partition by s, f, t order by b)),
+grp as (select *, sum(new) over (partition by s, f, t order by b rows unbounded preceding) as g from mark),
+ver as (select s, f, t, any_value(v) as v, min(b) as b, case when count(e2) = count(*) then max(e2) end as e from grp group by s, f, t, g)
+select s as sample_key, f as field_name, t as src_track, v as version_value, x.release_id as valid_from, coalesce(y.release_id, '') as valid_to from ver join rel x on x.k = ver.b left join rel y on y.k = ver.e""",
 }

@@ -197,7 +197,7 @@ def json_props(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
 
 
-@query()
+@query("""select event_id, '[{"source":"' || event_type || '","quote":"first"},{"source":"note","quote":"' || user_id || '"}]' as evidence from events""")
 def json_append(spark, d):
     """JSON evidence lists with one object more."""
     e = table(spark, d, "events")

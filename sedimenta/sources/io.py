@@ -75,7 +75,7 @@ def xml_text(c: Column) -> Column:
 
     def sign(x: Column, i: Column) -> Column:
         code = F.when(x.startswith("x"), F.conv(F.substring(x, 2, 8), 16, 10)).otherwise(x).try_cast("int")
-        return F.when(i % 2 == 1, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32BE")).otherwise(x)
+        return F.when(i % 2 == 1, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(x)
 
     s = F.when(c.contains("&#"), F.array_join(F.transform(numbered, sign), "")).otherwise(c)
     for name, ch in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):

@@ -226,5 +226,30 @@ ranked as (
   from rows_
 )
 select sample_key, field_name, det_id from ranked where r = 1 and n >= 2
+""".replace("BLANKS", "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)"),
+    "p1_golden": r"""
+with rel as (select release_id, package_version, row_number() over (order by release_date, release_id) as k from releases),
+names as (
+  select lower(trim(release_id)) as t, k from rel union select lower(trim(package_version)), k from rel
+  union select 'v' || lower(trim(package_version)), k from rel
+),
+rows_ as (
+  select d.det_id, d.value_normalized, d.field_value, d.evidence_source, d.evidence_locator, d.evidence_quote, d.parse_note,
+    lower(trim(d.src_track, BLANKS)) as src_track, lower(trim(d.route, BLANKS)) as route, case when d.confidence > 1 then d.confidence / 100 else d.confidence end as confidence, upper(trim(d.sample_key, BLANKS)) as sample_key, lower(trim(d.field_name, BLANKS)) as field_name,
+    case when lower(trim(d.src_track, BLANKS)) = 'infant_catalog' then 0 else 1 end as track_place,
+    case lower(trim(d.route, BLANKS)) when 'r1' then 1 when 'r2' then 2 when 'r3' then 3 when 'r4' then 4 else 5 end as route_place,
+    coalesce(case when d.confidence > 1 then d.confidence / 100 else d.confidence end, -1) as conf,
+    coalesce(a.k, p.k, 0) as rank_
+  from sample_determinations_all d
+  left join names a on a.t = lower(trim(d.release_added, BLANKS))
+  left join names p on p.t = lower(trim(d.package_added, BLANKS))
+  where d.release_retired is null and d.value_normalized is not null and d.sample_key is not null and d.field_name is not null
+),
+ranked as (
+  select *, row_number() over (partition by sample_key, field_name order by track_place, route_place, conf desc, rank_ desc, det_id) as r,
+    count(*) over (partition by sample_key, field_name) as n
+  from rows_
+)
+select sample_key, field_name, max(det_id) filter (where r = 1) as det_id, arg_min(value_normalized, r) filter (where trim(value_normalized::varchar) <> '') as value_normalized, arg_min(field_value, r) filter (where trim(field_value::varchar) <> '') as field_value, arg_min(confidence, r) filter (where trim(confidence::varchar) <> '') as confidence, arg_min(route, r) filter (where trim(route::varchar) <> '') as route, arg_min(src_track, r) filter (where trim(src_track::varchar) <> '') as src_track, arg_min(evidence_source, r) filter (where trim(evidence_source::varchar) <> '') as evidence_source, arg_min(evidence_locator, r) filter (where trim(evidence_locator::varchar) <> '') as evidence_locator, arg_min(evidence_quote, r) filter (where trim(evidence_quote::varchar) <> '') as evidence_quote, arg_min(parse_note, r) filter (where trim(parse_note::varchar) <> '') as parse_note, max(n) as group_rows from ranked where n >= 2 group by 1, 2
 """.replace("BLANKS", "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)"),
 }

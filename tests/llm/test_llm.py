@@ -375,6 +375,17 @@ def test_scoring_of_frames(spark):
     assert toxicity.score_documents(docs.limit(0), rev).count() == 0
 
 
+def test_reader_gives_the_features_of_each_text():
+    """All texts of the small tables and odd ones, read together and one by one, with a lexicon of words and pairs."""
+    texts = [None, "", "  \n ", "!!!", "a b a b. A b!", "you are an a*****e 你好世界！", "x" * 30_000, "word " * 5_000, *pd.read_parquet("/root/testdata/sf0.01/documents.parquet").text.head(400)]
+    seen = Counter(g for t in texts[:200] for s in toxicity.sentences(t or "") for g in toxicity.grams(s[0]))
+    lexicon = {g: random.Random(str(g)).uniform(-2, 4) for g, n in seen.items() if n > 1}
+    one = np.array([toxicity.features(t, lexicon) for t in texts])
+    assert np.allclose(toxicity.Reader(lexicon).features(texts), one)
+    assert np.allclose(toxicity.Reader({}).features(texts), [toxicity.features(t, {}) for t in texts])
+    assert toxicity.Reader({}).features([]).shape == (0, len(toxicity.NAMES))
+
+
 def test_other_scripts_are_read(spark):
     """Words of scripts without lexicons are learned from labels; unspaced scripts are read as pairs of signs; a repeated id takes one text."""
     assert [t for s in toxicity.sentences("Дщюж бизнес. 你好世界！") for t in s[0]][-3:] == ["你好", "好世", "世界"]

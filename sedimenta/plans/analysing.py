@@ -43,8 +43,8 @@ def mwu(spark, d):
 
 @query(U.replace("select p_type, count(*) filter (where arm) as n1", ", t as (select p_type, sum(c * c * c - c) as ties from (select p_type, v, count(*)::double as c from m group by 1, 2) group by 1), u as (select p_type, count(*) filter (where arm) as n1") + """), z as (select p_type, u / (n1 * n0) as superiority,
 abs((u - n1 * n0 / 2.0) / sqrt(n1 * n0 / 12.0 * ((n1 + n0 + 1) - ties / ((n1 + n0) * (n1 + n0 - 1.0))))) / sqrt(2.0) as x from u join t using (p_type)), p as (select *, 1 / (1 + 0.3275911 * x) as k from z),
-q as (select p_type, superiority, least(1.0, k * (0.254829592 + k * (-0.284496736 + k * (1.421413741 + k * (-1.453152027 + k * 1.061405429)))) * exp(-x * x)) as p from p), r as (select *, row_number() over (order by p, p_type) as rk, count(*) over () as n from q),
-a as (select *, least(1.0, min(p * n / rk) over (order by p, p_type rows between current row and unbounded following)) as q from r)
+q as (select p_type, superiority, least(1.0, k * (0.254829592 + k * (-0.284496736 + k * (1.421413741 + k * (-1.453152027 + k * 1.061405429)))) * exp(-x * x)) as p from p), w as (select *, row_number() over (order by p, p_type) as rk, count(*) over () as n from q),
+a as (select *, least(1.0, min(p * n / rk) over (order by p, p_type rows between current row and unbounded following)) as q from w)
 select p_type, round(superiority, 6) as superiority, round(p, 6) as p, round(q, 6) as q, case when q > 0.1 then 'none' when superiority > 0.5 then 'up' else 'down' end as kind from a""")
 def volcano(spark, d):
     """L3: U test per feature with adjusted p values and a class."""

@@ -62,7 +62,7 @@ def lifestyle_codes(spark, d):
 @query(
     f"""select k, value, {C.as_sql("k", "value", C.MULTIPLE_BIRTH)[0]} as birth, {C.as_sql("k", "value", C.SIBLING)[0]} as sibling, case when len(parts) > 1 and not regexp_matches(parts[1], '[0-9]') and not regexp_matches(lower(sub), '{C.INSTITUTIONS}') then sub end as place,
 case when lower(trim(regexp_replace(value, '[\\s ]+', ' ', 'g'))) in ({", ".join(repr(x) for x in C.SETTLEMENTS)}) then lower(trim(regexp_replace(value, '[\\s ]+', ' ', 'g'))) end as settlement from (select *, array_to_string(list_reverse(parts[2:100]), ', ') as sub from
-(select distinct k, value, list_filter(list_transform(string_split(regexp_replace(value, '[\s ]+', ' ', 'g'), ':'), lambda x: trim(x)), lambda x: x <> '') as parts from {A}))"""
+(select distinct k, value, list_filter(list_transform(string_split(regexp_replace(value, '[\\s ]+', ' ', 'g'), ':'), lambda x: trim(x)), lambda x: x <> '') as parts from {A}))"""
 )
 def extension_fields(spark, d):
     """Multiple birth, siblings, place below the country and settlement of each distinct (key, value)."""

@@ -90,12 +90,14 @@ def file_bytes(df: DataFrame) -> int:
 
 def _neighbours(previous: DataFrame) -> DataFrame:
     """(``snapshot``, ``previous_snapshot``, ``next_snapshot``) of a list of snapshots."""
+    if "previous_snapshot" in previous.columns:
+        return previous.select("snapshot", "previous_snapshot", "next_snapshot")
     before = previous.where("next_snapshot is not null").select(F.col("next_snapshot").alias("snapshot"), F.col("snapshot").alias("previous_snapshot"))
     return previous.select("snapshot", "next_snapshot").join(F.broadcast(before), "snapshot", "left")
 
 
 def consecutive(rows: DataFrame, snapshot: Column, ranks: DataFrame) -> DataFrame:
-    """(``snapshot``, ``next_snapshot``, ``has_previous``) of the snapshots that were delivered, in the order of their rank.
+    """(``snapshot``, ``previous_snapshot``, ``next_snapshot``, ``has_previous``) of the snapshots that were delivered, in the order of their rank.
 
     ``ranks`` is (``release_id``, ``release_rank``). The distinct snapshots are few (one per publication), so one
     sorted array holds them.
@@ -106,6 +108,7 @@ def consecutive(rows: DataFrame, snapshot: Column, ranks: DataFrame) -> DataFram
     )
     return a.select(F.posexplode("a").alias("i", "s"), "a").select(
         F.col("s.release_id").alias("snapshot"),
+        F.when(F.col("i") > 0, F.get("a", F.col("i") - 1)["release_id"]).alias("previous_snapshot"),
         F.get("a", F.col("i") + 1)["release_id"].alias("next_snapshot"),
         (F.col("i") > 0).alias("has_previous"),
     )

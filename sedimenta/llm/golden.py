@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.operators.eav import small
+from sedimenta.sources.tables import checkpointed
 
 #: A transition counts as learned when it was seen this often, and more often than its reverse by more than chance would give: the square
 #: of the difference exceeds this many times the sum (99 % of a normal law).
@@ -51,14 +52,14 @@ def learn_transitions(rows: DataFrame, group: list[str], attribute: str, value:
     )
 
 
-def latest_by_order(candidates: DataFrame, group: list[str], attribute: str, value: str, rank: str, precedence: DataFrame) -> DataFrame:
+def latest_by_order(candidates: DataFrame, group: list[str], attribute: str, value: str, rank: str, precedence: DataFrame, unstamped: DataFrame | None = None) -> DataFrame:
     """``candidates`` with ``is_latest``: in the partial order of its group no value of the group comes after the row's value.
 
     Only rows without a time stamp are placed by the order; stamped rows get null. The order of a group is the learned
     precedence among its distinct values; its topologically latest values are those without a successor in the group (all values
-    of a cycle have one, so none of them is latest).
+    of a cycle have one, so none of them is latest). ``unstamped`` are the groups and values of the rows without a stamp, if known already.
     """
-    lone = candidates.where(F.col(rank).isNull() & F.col(value).isNotNull()).select(*group, value)
+    lone = candidates.where(F.col(rank).isNull() & F.col(value).isNotNull()).select(*group, value) if unstamped is None else unstamped
     few = lone.limit(FEW_UNSTAMPED + 1).count() <= FEW_UNSTAMPED
     sent = F.broadcast if few else lambda df: df  # all of it is bounded by the unstamped rows
     missing = lone.distinct()
@@ -117,11 +118,12 @@ def golden_records(
     the exchange, so no group is ever gathered.
     """
     rows = rows.where(" and ".join(f"`{c}` is not null" for c in group))
-    # Only attributes with an unstamped candidate need a precedence.
-    wanted = rows.where(current & F.col(rank).isNull()).select(F.col(attribute).alias("__wanted")).distinct()
+    # Only attributes with an unstamped candidate need a precedence. These rows are found once; what follows reads a narrow table of them.
+    unstamped = checkpointed(rows.where(current & F.col(rank).isNull() & F.col(value).isNotNull()).select(*group, value))
+    wanted = unstamped.select(F.col(attribute).alias("__wanted")).distinct()
     taught = rows.join(small(wanted), F.col(attribute) == F.col("__wanted"), "left_semi")
     precedence = learn_transitions(taught, group, attribute, value, rank)
-    cand = latest_by_order(rows.where(current), group, attribute, value, rank, precedence)
+    cand = latest_by_order(rows.where(current), group, attribute, value, rank, precedence, unstamped)
     big = F.lit(2**31 - 1).cast("long")
     order = F.struct(
         *[F.coalesce(t.cast("double"), F.lit(float("inf"))).alias(f"t{i}") for i, t in enumerate(trust)],

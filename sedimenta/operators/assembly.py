@@ -83,3 +83,19 @@ def new_members(known: DataFrame, delivered: DataFrame, looked_up: DataFrame, de
     missed = j.where("__have is null").select(entity, study, reason.alias("reason"))
     counters = j.groupBy(study).agg(F.count(F.lit(1)).alias("new"), F.count("__have").alias("with_data"))
     return {"rows": rows.select(entity, study, *fields, "age_scope"), "missed": missed, "counters": counters}
+
+
+def audit(ids: DataFrame, key: str, blocks: dict[str, tuple[DataFrame, str, list[str]]], gaps: tuple[DataFrame, str, str, list[str]]) -> DataFrame:
+    """(key, ``n_<block>``, ``<block>``.., ``gaps``): what the tables say of each identifier.
+
+    ``blocks`` maps a name to (frame, its key column, columns shown of its smallest row); ``gaps`` is (frame, its key column, field column, wanted fields): the sorted list of fields without a
+    value. Each table is reduced to one row per identifier before it is joined; identifiers nothing is known of stay with zero counts.
+    """
+    out = ids.select(key).where(F.col(key).isNotNull()).distinct()
+    for name, (df, k, cols) in blocks.items():
+        g = df.where(F.col(k).isNotNull()).groupBy(F.col(k).alias(key)).agg(F.count(F.lit(1)).alias(f"n_{name}"), F.min(F.struct(*cols)).alias("__b"))
+        out = out.join(g, key, "left").withColumn(f"n_{name}", F.coalesce(f"n_{name}", F.lit(0))).withColumn(name, F.to_json("__b")).drop("__b")
+    df, k, field, wanted = gaps
+    have = df.where(F.col(field).isin(*wanted)).groupBy(F.col(k).alias(key)).agg(F.collect_set(field).alias("__have"))
+    missing = F.array_except(F.array(*[F.lit(f) for f in sorted(wanted)]), F.coalesce("__have", F.array().cast("array<string>")))
+    return out.join(have, key, "left").withColumn("gaps", F.array_join(missing, ";")).drop("__have")

@@ -12,7 +12,7 @@ from sedimenta.sources.tables import checkpointed
 def lookup(df: DataFrame, dim: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """Left join to a dimension reduced to one row per key (smallest values), so the rows never multiply."""
     one = dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*cols)).alias("__d"))
-    return df.join(one, key, "left").select(*df.columns, *[F.col(f"__d.{c}").alias(c) for c in cols])
+    return attach(df, one, [key], "left").select(*df.columns, *[F.col(f"__d.{c}").alias(c) for c in cols])
 
 
 def snapshot_diff(prev: DataFrame, new: DataFrame, key: list[str], cols: list[str]) -> DataFrame:

@@ -120,7 +120,7 @@ select a.grp, a.item as a, b.item as b, round(1 - 2 * sum(least(a.v, b.v)) / any
 join t ta on ta.grp = a.grp and ta.item = a.item join t tb on tb.grp = b.grp and tb.item = b.item group by 1, 2, 3""")
 def pairwise_bc(spark, d):
     """Dissimilarity of the nations of each region over part types."""
-    n = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("n_nationkey") == F.col("s_nationkey"))
+    n = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
     j = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", "l_quantity").join(n, F.col("s_suppkey") == F.col("l_suppkey"))
     j = j.join(table(spark, d, "part").select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"))
     x = A.bray_curtis(j.select(F.col("n_regionkey").alias("grp"), F.col("s_nationkey").alias("item"), "p_type", "l_quantity"), "grp", "item", "p_type", "l_quantity")
@@ -167,8 +167,8 @@ def sum_then_median(spark, d):
 
 
 def _lineage(spark, d):
-    n = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("r_regionkey") == F.col("n_regionkey"))
-    s = table(spark, d, "supplier").join(F.broadcast(n), F.col("n_nationkey") == F.col("s_nationkey"))
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    s = table(spark, d, "supplier").join(n, F.col("n_nationkey") == F.col("s_nationkey"))
     s = s.select("s_suppkey", F.concat_ws("; ", F.lit("root"), "r_name", "n_name", F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name"))).alias("lineage"))
     l = table(spark, d, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.sum("l_quantity").alias("q"))
     return l.join(s, F.col("s_suppkey") == F.col("l_suppkey")).select("l_returnflag", "lineage", "q")

@@ -351,3 +351,18 @@ def _new_members(spark, d):
     two = F.array(F.struct(F.lit("age_at_collection_days").alias("field_name"), F.rint(F.col("o_totalprice") / 20).cast("int").cast("string").alias("value")), F.struct(F.lit("status").alias("field_name"), F.col("o_orderstatus").alias("value")))
     dets = third.select(F.col("o_custkey").alias("entity"), F.explode(two).alias("x")).select("entity", "x.*")
     return assembly.new_members(known, delivered, looked, dets, "entity", "study", ["age_at_collection_days", "status"], "2000-01-01")
+
+
+@query("""with i as (select study_accession as id from study_meta union select study_accession from documents union select study_accession from sample_determinations_all), s as (select study_accession as id, count(*) as n, min(study_title) as t from study_meta group by 1),
+d as (select study_accession as id, count(*) as n, min(det_id) as k from sample_determinations_all group by 1), t as (select study_accession as id, count(*) as n, min(doc_id) as k from documents group by 1), h as (select study_accession as id, list_distinct(list(lower(trim(field_name)))) as f
+from sample_determinations_all where value_normalized is not null group by 1) select i.id, coalesce(s.n, 0) as n_study, case when t2.t is not null then '{"study_title":"' || t2.t || '"}' else case when s.id is not null then '{}' end end as study, coalesce(d.n, 0) as n_facts, '{"det_id":' || d.k || '}' as facts,
+coalesce(t.n, 0) as n_texts, '{"doc_id":' || t.k || '}' as texts, array_to_string(list_filter(['country', 'feeding_mode', 'sex'], lambda x: not coalesce(list_contains(h.f, x), false)), ';') as gaps from i left join s using (id) left join d using (id) left join t using (id) left join h using (id)
+left join (select study_accession as id, case when count(*) = count(study_title) then min(study_title) end as t from study_meta group by 1) t2 using (id) where i.id is not null""")
+def study_audit(spark, d):
+    """What the tables say of every study: its record, determinations, texts and fields without a value."""
+    meta, det, docs = [table(spark, d, t) for t in ("study_meta", "sample_determinations_all", "documents")]
+    ids = meta.select(F.col("study_accession").alias("id")).union(docs.select("study_accession")).union(det.select("study_accession"))
+    blocks = {"study": (meta, "study_accession", ["study_title"]), "facts": (det, "study_accession", ["det_id"]), "texts": (docs, "study_accession", ["doc_id"])}
+    have = det.where("value_normalized is not null").select("study_accession", F.lower(F.trim("field_name")).alias("f"))
+    return assembly.audit(ids, "id", blocks, (have, "study_accession", "f", ["sex", "country", "feeding_mode"]))
+

@@ -80,10 +80,10 @@ def _history(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_versions(spark: SparkSession, d: str) -> DataFrame:
     """The history with the value of each version."""
-    names = eav.small(release_ranks(table(spark, d, "releases")).select("release_id", "release_rank").distinct())
+    names = release_ranks(table(spark, d, "releases")).select("release_id", "release_rank").distinct()
     starts = names.select(F.col("release_rank").alias("start"), F.col("release_id").alias("valid_from"))
     ends = names.select(F.col("release_rank").alias("end"), F.col("release_id").alias("valid_to"))
-    v = _history(spark, d).join(F.broadcast(starts), "start").join(F.broadcast(ends), "end", "left")
+    v = _history(spark, d).join(eav.small(starts), "start").join(eav.small(ends), "end", "left")
     return v.select("sample_key", "field_name", "src_track", "version_value", "valid_from", F.coalesce("valid_to", F.lit("")).alias("valid_to"))
 
 

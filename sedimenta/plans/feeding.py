@@ -265,3 +265,20 @@ def stream_dedupe(spark, d):
 def stream_merge(spark, d):
     """A stream merged batch by batch into the latest row per key."""
     return intake.merge_batches(_stream(spark, d).select("user_id", "event_type", "event_id"), spark, ["user_id", "event_type"], ["event_id"])
+
+
+@query("""with e as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) < interval 2 hour then 0 else 1 end as new from events), s as (select *, sum(new) over (partition by user_id order by ts rows unbounded preceding) as k from e),
+m as (select max(ts) as m from events) select user_id, epoch_us(min(ts)) as start_us, count(*) as n from s, m group by user_id, k, m.m having max(ts) + interval 2 hour <= m.m - interval 10 minute""")
+def stream_sessions(spark, d):
+    """A stream of sessions per user with a watermark; sessions still open are not emitted."""
+    w = intake.sessions(_stream(spark, d), "ts", "2 hours", "10 minutes", ["user_id"], [F.count(F.lit(1)).alias("n")])
+    return intake.run_available(w, spark).select("user_id", F.unix_micros("w.start").alias("start_us"), "n")
+
+
+@query("""select event_id, user_id, case when event_id % 6 = 0 then 'changed' else event_type end as event_type from events where event_id % 6 = 0 or event_id % 2 = 1""")
+def new_content(spark, d):
+    """Rows of a delivery whose content was not seen before, however often they are delivered again."""
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type")
+    batch = e.withColumn("event_type", F.when(F.col("event_id") % 6 == 0, "changed").otherwise(F.col("event_type")))
+    return intake.new_only(batch.unionByName(batch), e.where("event_id % 2 = 0"), "event_id", ["user_id", "event_type"])
+

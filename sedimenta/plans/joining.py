@@ -101,7 +101,7 @@ select node, n, sum(n) over (partition by parent) as parent_total from v""")
 def parent_child(spark, d):
     """Each node beside the sum of its siblings' parent."""
     n = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("node")).agg(F.count(F.lit(1)).alias("n"))
-    v = n.join(F.broadcast(table(spark, d, "nation")), F.col("n_nationkey") == F.col("node")).select("node", F.col("n_regionkey").alias("parent"), "n")
+    v = n.join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("node")).select("node", F.col("n_regionkey").alias("parent"), "n")
     return v.join(v.groupBy("parent").agg(F.sum("n").alias("parent_total")), "parent").select("node", "n", "parent_total")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions import texts as T
 from sedimenta.functions.keys import PLACEHOLDER_PATTERN, is_placeholder, normal_key
+from sedimenta.operators.eav import small
 from sedimenta.plans.registry import registry
 from sedimenta.sources.tables import table
 
@@ -112,7 +113,7 @@ def field_map(spark, d):
     """Attribute rows dispatched by the field map, placeholders counted as absent."""
     a = table(spark, d, "sample_attributes_new").select(F.coalesce("attr_key_norm", normal_key(F.col("attr_key"))).alias("k"), "value")
     m = table(spark, d, "attribute_field_map").where("parser <> 'SKIP'")
-    return a.join(F.broadcast(m), F.col("k") == m["attr_key_norm"]).groupBy("field_name").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_placeholder(F.col("value"))).alias("absent"))
+    return a.join(small(m), F.col("k") == m["attr_key_norm"]).groupBy("field_name").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_placeholder(F.col("value"))).alias("absent"))
 
 
 @query(r"""with k as (select distinct study_accession as id from study_meta union select distinct sample_key from sample_attributes_new) select id, case when regexp_matches(trim(id),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sedimenta.operators import versioned as V
+from sedimenta.operators.eav import small
 from sedimenta.plans.joining import PREV_CUR, prev_cur
 from sedimenta.plans.registry import registry
 from sedimenta.sources.tables import table
@@ -46,7 +47,7 @@ def seed_history(spark, d):
     """The newest history event per key by registry position."""
     n = V.release_positions(table(spark, d, "releases"))
     h = table(spark, d, "sample_determinations_all").select("det_id", F.upper(F.trim("sample_key")).alias("sample_key"), "field_name", F.lower(F.trim("release_retired")).alias("t"))
-    j = h.join(F.broadcast(n), "t")  # a list of releases
+    j = h.join(small(n), "t")
     return j.groupBy("sample_key", "field_name").agg(F.max("k").alias("newest_rank"), F.max_by("det_id", F.struct("k", "det_id")).alias("det_id"))
 
 
@@ -57,7 +58,7 @@ def value_timeline(spark, d):
     """Current rows first, then retired ones, newest first."""
     n = V.release_positions(table(spark, d, "releases"))
     h = table(spark, d, "sample_determinations_all").select("det_id", F.upper(F.trim("sample_key")).alias("sample_key"), "field_name", F.lower(F.trim("release_retired")).alias("t"), "release_retired")
-    return V.value_timeline(h.join(F.broadcast(n), "t", "left"), ["sample_key", "field_name"], "release_retired", "k", "det_id")
+    return V.value_timeline(h.join(small(n), "t", "left"), ["sample_key", "field_name"], "release_retired", "k", "det_id")
 
 
 @query("with " + PREV_CUR + """ select 'added' as metric, count(*) as v from cur where o_orderkey not in (select o_orderkey from prev) union all select 'removed', count(*) from prev where o_orderkey not in

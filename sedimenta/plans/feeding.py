@@ -96,9 +96,9 @@ def export_manifest(spark, d):
     """Files of at most a byte budget, listed with their digests and checked against the folder; nothing is lost or changed."""
     out, budget = io.scratch(spark), 2_000
     io.sink_budget(table(spark, d, "supplier").select("s_suppkey", "s_name"), out, budget, ["s_suppkey"])
-    listed = io.manifest(spark, f"{out}/*/*.txt")
+    listed = io.manifest(spark, out, "*.txt")
     g = listed.agg(F.count_if(F.col("bytes") > budget).alias("over_budget"), F.sum("bytes").alias("bytes"))
-    bad = io.check_manifest(listed, io.manifest(spark, f"{out}/*/*.txt")).agg(F.count(F.lit(1)).alias("problems"))
+    bad = io.check_manifest(listed, io.manifest(spark, out, "*.txt")).agg(F.count(F.lit(1)).alias("problems"))
     n = spark.read.text(f"{out}/*/*.txt").agg(F.count(F.lit(1)).alias("rows"))
     return g.crossJoin(bad).crossJoin(n)  # one row each
 

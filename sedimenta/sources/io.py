@@ -311,10 +311,11 @@ def sink_budget(df: DataFrame, path: str, budget: int, order: list[str]) -> None
     out.select(F.col("__line").alias("value"), "part").write.mode("overwrite").partitionBy("part").text(path)
 
 
-def manifest(spark: SparkSession, glob: str) -> DataFrame:
-    """(file, bytes, sha256) of every file; content is hashed where it lies."""
-    b = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob)
-    return b.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """(file, bytes, sha256) of every file below a folder whose name fits a pattern, by its path from there; content is hashed where it lies."""
+    b = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    name = root.rstrip("/").rsplit("/", 1)[-1]
+    return b.select(F.substring_index("path", f"/{name}/", -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def check_manifest(listed: DataFrame, now: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions.times import DAY_US, US, days_from_civil, valid_day
+from sedimenta.functions.times import DAY_US, US
 
 #: Years for which offsets are tabulated. Before the first no zone of the database had changed yet; after the last the rules repeat by calendar, so
 #: a later year takes the offsets of the tabulated year that begins on the same weekday and is as long.
@@ -90,12 +90,13 @@ def resolve_local(df: DataFrame, zones: DataFrame, parsed: str, zone: Column, ou
     day = ((local - F.pmod(local, F.lit(DAY_US))) / F.lit(DAY_US)).cast("int")
     year = F.greatest(F.year(F.date_from_unix_date(day)), F.lit(FIRST_YEAR))
     # A year beyond the table is looked up in one of the same kind, its times moved by the days between the two.
-    jan1 = days_from_civil(year, F.lit(1), F.lit(1))
-    kind = F.pmod(jan1, F.lit(7)) * 2 + F.when(valid_day(year, F.lit(2), F.lit(29)), 1).otherwise(0)
+    new_year = lambda y: F.unix_date(F.make_date(y, F.lit(1), F.lit(1)))
+    jan1 = new_year(year)
+    kind = F.pmod(jan1, F.lit(7)) * 2 + F.when(F.dayofyear(F.make_date(year, F.lit(12), F.lit(31))) > 365, 1).otherwise(0)
     base = dt.date(1970, 1, 1)
     alike = {((dt.date(y, 1, 1) - base).days % 7) * 2 + (y % 4 == 0): y for y in CYCLE}
     like = F.when(year > LAST_YEAR, F.try_element_at(F.create_map(*[F.lit(x) for k, y in alike.items() for x in (k, y)]), kind.cast("int"))).otherwise(year)
-    shift = F.when(year > LAST_YEAR, (jan1 - days_from_civil(like, F.lit(1), F.lit(1))) * F.lit(DAY_US)).otherwise(F.lit(0).cast("long"))
+    shift = F.when(year > LAST_YEAR, (jan1 - new_year(like)).cast("long") * F.lit(DAY_US)).otherwise(F.lit(0).cast("long"))
     z = F.broadcast(zones.select(F.col("zone_id").alias("__z"), F.col("zone_year").alias("__y"), F.col("stretches").alias("__s")))
     want_zone = F.coalesce(p["zone_id"], zone)
     j = df.withColumn("__want", F.when(p["offset_min"].isNull(), want_zone)).withColumn("__year", F.when(p["offset_min"].isNull(), like)).withColumn("__at", local - shift)

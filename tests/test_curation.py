@@ -342,3 +342,21 @@ def test_sanitise_and_fold_read_every_text(spark):
     assert sorted(tuple(r) for r in texting.fold_accents(spark, SF).collect()) == sorted((r.attr_id, fold(r.value)) for r in values.itertuples())
     df = spark.createDataFrame([("josé.müller@uni-köln.de ist da", "Việt Nam ﬁn"), (None, None)], "a string, b string")
     assert [tuple(r) for r in df.select(texts.sanitise(F.col("a")), texts.fold(F.col("b"))).collect()] == [("[id] ist da", "viet nam fin"), (None, None)]
+
+
+def test_told_rows_need_no_decoding(spark, attrs):
+    """``p6_found`` runs no stage that decides nothing: its rows are the told ones of the decoded table without the model, odd rows included."""
+    found = curation.p6_found(spark, SF)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" not in plan and "Repartition" not in plan
+    want = curation.p6_units(spark, SF).where("told").select("row_id", F.round("common").cast("bigint"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    values = ["3 kg", "0 g", "-2 g", "birth", "12 weeks", "98.6 F", "37", "1e400 g", "3-4 kg", "x", None, "3 kg", "1,200 g", "12"]
+    rows = [(None if i == 8 else i, ("age", "mass", "temp", None)[k], v) for k in range(4) for i, v in enumerate(values)]
+    df = spark.createDataFrame([(i, "p", d or "none", d, v) for i, d, v in rows], "id long, study string, f string, dim string, v string")
+    df = df.withColumn("dim", F.when(F.col("dim") == "age", "time").otherwise(F.col("dim"))).withColumn("q", parse_quantity(F.col("v"), F.col("dim")))
+    told = units.convert_told(df, "id", "f", "dim", "q", F.col("q.unit"))
+    old = units.decode_units(df, ["study"], "id", "f", "dim", "q", F.col("q.unit")).where("told").select("row_id", "field", "unit", "common")
+    got = sorted(map(str, told.collect()))
+    assert got and got == sorted(map(str, old.collect()))
+    assert units.convert_told(df.limit(0), "id", "f", "dim", "q", F.col("q.unit")).count() == 0
